@@ -82,11 +82,20 @@ def _report_lines(path: str, content: bytes | None, chosen: str) -> Iterator[str
     with _open(path, content) as stream, tarfile.open(fileobj=stream, mode="r|xz") as archive:
         for member in archive:
             if member.isfile() and member.name == chosen:
-                text = io.TextIOWrapper(archive.extractfile(member), encoding="utf-8", errors="replace")
-                yield from (line.rstrip("\r\n") for line in text)
+                yield from _split_lines(archive.extractfile(member))
                 return
 
 
+def _split_lines(member) -> Iterator[str]:
+    rest = b""
+    while chunk := member.read(1 << 20):
+        *whole, rest = (rest + chunk).split(b"\n")
+        for line in whole:
+            yield line.decode("utf-8", "replace").rstrip("\r")
+    if rest:
+        yield rest.decode("utf-8", "replace").rstrip("\r")
+
+
 def _rows(path: str, member: str | None, start: int, lines: list[str | None], error: str | None = None) -> pd.DataFrame:
     return pd.DataFrame(
         {
