@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.operators import inventory as inv
 from pulsemill.operators import reports as r
-from pulsemill.plans.ingest import StorePaths, ingest_archives, IngestOptions, read_lines
+from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, read_lines
 from pulsemill.registered import views
 from pulsemill.registered.registry import query
 from pulsemill.session import scratch_path

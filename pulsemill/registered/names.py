@@ -58,7 +58,9 @@ def category_stats(spark, sf):
 def validated_semi(spark, sf):
     samples = telemetry(spark, sf).withColumn("metric", F.concat("metric", F.lit("-"), "serialNumber"))
     valid = samples.groupBy("metric").agg(F.max("value").alias("top")).filter("top > 100")
-    return joins.keep_validated(samples, valid).select("event_id", "metric", "value")
+    path = scratch_path(spark, "validated")
+    tables.write_validated(valid, path)
+    return joins.keep_validated(samples, read_name_list(spark, path)).select("event_id", "metric", "value")
 
 
 @query(
@@ -67,7 +69,9 @@ def validated_semi(spark, sf):
     and metric not in (select metric from labels where ts < timestamp '{_MIDDLE}')""",
 )
 def new_metrics_anti(spark, sf):
-    return joins.new_metrics(_late(spark, sf).select("metric").distinct(), _early(spark, sf).select("metric").distinct())
+    path = scratch_path(spark, "catalog")
+    tables.append_catalog(spark, c.seen_metrics(_early(spark, sf)), path)
+    return joins.new_metrics(_late(spark, sf).select("metric").distinct(), tables.read_catalog(spark, path))
 
 
 @query(

@@ -159,18 +159,19 @@ def parse_report(spark, sf):
 @query(
     "q_ingest_counters",
     """+ per_line as (
-      select report, variant, bad_arity, bad_ts, not bad_arity and not bad_ts as usable,
-        variant = 2 and metric = 'mem.util.free' and event_id % 2 = 0 as extra, kind,
+      select report, bad_arity, bad_ts, not bad_arity and not bad_ts as usable, kind in (2, 3) as is_text,
+        kind not in (2, 3) and (kind = 4 or value = 0) as is_zero,
+        variant = 2 and metric = 'mem.util.free' and event_id % 2 = 0 as extra,
         case when variant = 2 then 6 else 5 end as width
       from report_lines)
     select report, count(*) as lines,
-      cast(sum(case when usable and (kind not in (2, 3, 4) or extra) then 1 else 0 end) as bigint) as points,
-      cast(sum(case when usable then (kind not in (2, 3, 4))::int + extra::int else 0 end) as bigint) as values,
+      count(*) filter (usable and (not is_text and not is_zero or extra)) as points,
+      cast(sum(case when usable then (not is_text and not is_zero)::int + extra::int else 0 end) as bigint) as values,
       cast(sum(case when usable then width - 1 - extra::int else 0 end) as bigint) as skipped_null,
-      cast(sum(case when usable and kind in (2, 3) then 1 else 0 end) as bigint) as skipped_text,
-      cast(sum(case when usable and kind = 4 then 1 else 0 end) as bigint) as skipped_filtered,
-      cast(sum(bad_arity::int) as bigint) as bad_arity,
-      cast(sum((bad_ts and not bad_arity)::int) as bigint) as bad_ts
+      count(*) filter (usable and is_text) as skipped_text,
+      count(*) filter (usable and is_zero) as skipped_filtered,
+      count(*) filter (bad_arity) as bad_arity,
+      count(*) filter (bad_ts and not bad_arity) as bad_ts
     from per_line group by report""",
 )
 def ingest_counters(spark, sf):

@@ -63,7 +63,7 @@ def upsert_samples(spark: SparkSession, samples: DataFrame, root: str) -> None:
     if read_samples(spark, root).isEmpty():
         write_samples(fresh, root)
         return
-    staged = f"{scratch_path(spark, 'upsert')}"
+    staged = scratch_path(spark, "upsert")
     fresh.write.parquet(f"{staged}/new")
     new = spark.read.schema(SAMPLES).parquet(f"{staged}/new")
     touched = new.select(*PARTITIONS).distinct()
@@ -110,7 +110,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_ledger(ledger: DataFrame, path: str) -> None:
-    ledger.write.mode("append").parquet(path)
+    """Add a run's rows; a repeated run replaces its own."""
+    writer = ledger.write.mode("overwrite").partitionBy("ingest_seq")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_line_protocol(lines: DataFrame, path: str) -> None:

@@ -10,12 +10,6 @@ from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, i
 from pulsemill.sources.reports import with_line_position
 
 
-def _report_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
-    # A file's lines keep their metadata only if it is selected before the batch is handed over.
-    return reader.text(path).select("value", "_metadata")
-
-
 def ingest_available(
     spark: SparkSession,
     path: str,
@@ -24,24 +18,29 @@ def ingest_available(
     options: IngestOptions = IngestOptions(),
     archives: bool = False,
     files_per_batch: int = 1000,
+    first_seq: int = 1,
 ) -> None:
     """Load the files that wait in a directory, then stop.
 
     The checkpoint remembers what was loaded. A batch repeated after a failure has the same
-    number and overwrites its own samples. ``files_per_batch`` bounds a batch's headers.
+    number and overwrites its own samples. ``files_per_batch`` bounds a batch's headers;
+    ``first_seq`` numbers the first batch, for a store that other loads went into before.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        seq = first_seq + batch_id
         if archives:
-            ingest_archives(batch.sparkSession, batch, store, batch_id, options)
+            ingest_archives(batch.sparkSession, batch, store, seq, options)
         else:
-            ingest_lines(batch.sparkSession, with_line_position(batch), store, batch_id, options)
+            ingest_lines(batch.sparkSession, with_line_position(batch), store, seq, options)
 
     if archives:
         reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
         source = reader.option("pathGlobFilter", "*.tar.xz").load(path)
     else:
-        source = _report_stream(spark, path, files_per_batch)
+        reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        # The metadata has to be selected here to reach the batch.
+        source = reader.option("recursiveFileLookup", "true").text(path).select("value", "_metadata")
     query = (
         source.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
