@@ -34,18 +34,23 @@ def finite(c: Column) -> Column:
     return F.when(F.abs(c) < float("inf"), c)
 
 
-def decimal_text(c: Column) -> Column:
-    """Cast plain decimal text to double, anything else to null (1e999 gives infinity)."""
-    cell = clean_cell(c)
+def decimal_text(cell: Column) -> Column:
+    """Cast a clean cell in plain decimal notation to double, anything else to null (1e999
+    gives infinity)."""
     return F.when(cell.rlike(_NUMBER), cell.try_cast("double"))
 
 
 def to_number(c: Column) -> Column:
-    return finite(decimal_text(c))
+    return finite(decimal_text(clean_cell(c)))
+
+
+def names_nothing(cell: Column) -> Column:
+    """Is this clean cell one of the tokens for a missing value?"""
+    return F.lower(cell).isin(NULL_TOKENS)
 
 
 def is_null_token(c: Column) -> Column:
-    return F.lower(clean_cell(c)).isin(NULL_TOKENS)
+    return names_nothing(clean_cell(c))
 
 
 def parse_ts(c: Column) -> Column:

@@ -10,11 +10,15 @@ BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Plain size of a table: text lengths plus 16 bytes per value, summed on the executors."""
-    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    """Plain size of a table, summed on the executors: text lengths, 8 bytes per array element
+    and 16 per value."""
     per_row = F.lit(16 * len(df.columns))
-    for name in texts:
-        per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    for f in df.schema.fields:
+        column, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind == "string":
+            per_row = per_row + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind == "array":
+            per_row = per_row + 8 * F.coalesce(F.size(column), F.lit(0))
     return df.agg(F.sum(per_row.cast("long")).alias("n")).first()["n"] or 0
 
 

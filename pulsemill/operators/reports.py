@@ -1,22 +1,25 @@
 """From report lines to typed values.
 
 A report is wide: its header may name ten thousand columns and every file has its own.
-Lines stay arrays of text, headers become a narrow ``(header_id, pos, metric)`` table, and
-the two meet on two numbers after the cells are exploded. Choosing metrics means filtering
-that narrow table, so unwanted columns are gone before anything is shuffled.
+Lines stay arrays of text, headers become a narrow table of columns, and the two meet on two
+numbers after the cells are exploded. Choosing metrics means filtering that narrow table: the
+cells of other columns are never read as numbers, exploded or shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.scalars import (
+    clean_cell,
     decimal_text,
     finite,
     is_null_token,
+    names_nothing,
     normalise_header,
     parse_ts,
     sanitize_field,
@@ -32,9 +35,11 @@ LINE_KEY = ["archive", "block_start", "row_id"]
 
 
 class Headers(NamedTuple):
-    """``files``: archive, header_id, width. ``columns``: header_id, pos, metric, field."""
+    """``files``: archive, header_id, width. ``layouts``: header_id and the positions of its
+    wanted columns. ``columns``: header_id, slot (place among the wanted), pos, metric, field."""
 
     files: DataFrame
+    layouts: DataFrame
     columns: DataFrame
 
 
@@ -53,14 +58,18 @@ def header_lines(lines: DataFrame) -> DataFrame:
     return candidates.groupBy("archive").agg(F.min_by("header", "row_id").alias("header"))
 
 
-def read_headers(spark: SparkSession, lines: DataFrame) -> Headers:
-    """Header tables of a set of reports, written once so that later plans only look them up."""
+def read_headers(
+    spark: SparkSession, lines: DataFrame, select: Callable[[DataFrame], DataFrame] = lambda columns: columns
+) -> Headers:
+    """Header tables of a set of reports, written once so that later plans only look them up.
+
+    ``select`` chooses among the columns (header_id, pos, metric, field).
+    """
     path = scratch_path(spark, "headers")
-    header_lines(lines).filter("header IS NOT NULL").write.parquet(path)
-    headers = spark.read.parquet(path)
+    header_lines(lines).filter("header IS NOT NULL").write.parquet(f"{path}/headers")
+    headers = spark.read.parquet(f"{path}/headers")
     seed = _collision_free_seed(headers)
     headers = headers.withColumn("header_id", F.xxhash64("header", F.lit(seed)))
-    files = headers.select("archive", "header_id", F.size(split_line(F.col("header"))).alias("width"))
     columns = (
         headers.groupBy("header_id")
         .agg(F.first("header").alias("header"))
@@ -68,7 +77,17 @@ def read_headers(spark: SparkSession, lines: DataFrame) -> Headers:
         .filter("pos > 0")
         .withColumn("field", sanitize_field(F.col("metric")))
     )
-    return Headers(files, columns)
+    # A group is one header, so a list is never longer than a line.
+    wanted = F.array_sort(F.collect_list(F.struct("pos", "metric", "field"))).alias("wanted")
+    select(columns).groupBy("header_id").agg(wanted).write.parquet(f"{path}/wanted")
+    layouts = spark.read.parquet(f"{path}/wanted")
+    return Headers(
+        headers.select("archive", "header_id", F.size(split_line(F.col("header"))).alias("width")),
+        layouts.select("header_id", F.col("wanted.pos").alias("positions")),
+        layouts.select("header_id", F.posexplode("wanted").alias("slot", "column")).select(
+            "header_id", "slot", "column.*"
+        ),
+    )
 
 
 def _collision_free_seed(headers: DataFrame) -> int:
@@ -81,10 +100,12 @@ def _collision_free_seed(headers: DataFrame) -> int:
     raise RuntimeError("no collision-free header ids found")
 
 
-def attach_header(lines: DataFrame, files: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Give each non-blank line its header_id and header width (both null if the file has none)."""
+def attach_header(lines: DataFrame, headers: Headers, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Give each non-blank line its header_id, header width and wanted positions (all null if
+    the file has no header)."""
     kept = lines.filter(strip(F.col("line")) != "")
-    return side_join(kept, files, "archive", "left", limit)
+    known = side_join(kept, headers.files, "archive", "left", limit)
+    return side_join(known, headers.layouts, "header_id", "left", limit)
 
 
 def parse_lines(attached: DataFrame) -> DataFrame:
@@ -105,41 +126,44 @@ def check_ts(rows: DataFrame) -> DataFrame:
 
 
 def read_numbers(parsed: DataFrame) -> DataFrame:
-    """Turn ``cells`` into an array of doubles and counts of the cells that are none.
-
-    Each cell is read once, inside its line's array. Lines that fail a check get no array.
+    """Turn ``cells`` into an array with one double per wanted column, and count the cells that
+    are none. Each cell is read once, inside its line's array. Lines that fail a check get no
+    array.
     """
     usable = F.col("arity_ok") & F.col("ts").isNotNull()
+    wanted = F.transform("positions", lambda pos: clean_cell(F.get("cells", pos)))
+    cleaned = parsed.withColumn("cells", F.when(usable, F.coalesce(wanted, F.array().cast("array<string>"))))
     numbers = F.transform(F.transform("cells", decimal_text), finite)
-    # The first cell is the timestamp: neither a null token nor a number.
-    n_null = F.size(F.filter("cells", is_null_token))
-    read = parsed.withColumns({"numbers": F.when(usable, numbers), "n_null": F.when(usable, n_null)})
-    n_text = F.size("cells") - 1 - F.col("n_null") - F.size(F.array_compact("numbers"))
-    return read.withColumn("n_text", F.when(usable, n_text)).drop("cells")
+    read = cleaned.withColumn("numbers", numbers)
+    # Only cells that gave no number can be null tokens.
+    missing = F.filter("cells", lambda cell, i: F.get("numbers", i).isNull() & names_nothing(cell))
+    n_text = F.size("numbers") - F.size(F.array_compact("numbers")) - F.col("n_null")
+    counted = read.withColumn("n_null", F.when(usable, F.size(missing))).withColumn("n_text", F.when(usable, n_text))
+    return counted.drop("cells", "positions")
 
 
-_LINE_ONLY = ("cells", "numbers", "width", "arity_ok", "n_null", "n_text")
+_LINE_ONLY = ("cells", "positions", "numbers", "width", "arity_ok", "n_null", "n_text")
 
 
 def melt(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """One row per numeric cell, named by the header columns that are wanted."""
+    """One row per number, named by its header column."""
     keep = [c for c in rows.columns if c not in _LINE_ONLY]
-    values = rows.select(*keep, F.posexplode("numbers").alias("pos", "value")).filter("value IS NOT NULL")
-    return side_join(values, columns, ["header_id", "pos"], "inner", limit).drop("header_id")
+    values = rows.select(*keep, F.posexplode("numbers").alias("slot", "value")).filter("value IS NOT NULL")
+    return side_join(values, columns, ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
 
 
 def melt_raw(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """One row per cell with its text, for profiling what a column holds."""
     keep = [c for c in rows.columns if c not in _LINE_ONLY]
     cells = rows.select(*keep, F.posexplode("cells").alias("pos", "raw")).filter("pos > 0")
-    return side_join(cells, columns, ["header_id", "pos"], "inner", limit).drop("header_id")
+    return side_join(cells, columns, ["header_id", "pos"], "inner", limit).drop("header_id", "slot")
 
 
 def numeric_columns(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Columns of each archive that gave a number. Counted by position, named afterwards."""
-    cells = rows.select("archive", "header_id", F.posexplode("numbers").alias("pos", "value"))
-    found = cells.filter("value IS NOT NULL").groupBy("archive", "header_id", "pos").agg(F.count("*").alias("n"))
-    return side_join(found, columns, ["header_id", "pos"], "inner", limit).drop("header_id")
+    """Columns of each archive that gave a number. Counted by slot, named afterwards."""
+    cells = rows.select("archive", "header_id", F.posexplode("numbers").alias("slot", "value"))
+    found = cells.filter("value IS NOT NULL").groupBy("archive", "header_id", "slot").agg(F.count("*").alias("n"))
+    return side_join(found, columns, ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
 
 
 def value_filter(df: DataFrame, policy: list[str] | tuple[str, ...] = ()) -> DataFrame:

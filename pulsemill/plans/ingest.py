@@ -42,13 +42,13 @@ class StorePaths:
 
 def read_lines(lines: DataFrame, headers: r.Headers) -> DataFrame:
     """Lines with their timestamp, header, numbers and check results."""
-    return r.read_numbers(r.parse_lines(r.attach_header(lines, headers.files)))
+    return r.read_numbers(r.parse_lines(r.attach_header(lines, headers)))
 
 
-def wanted_columns(headers: r.Headers, options: IngestOptions) -> DataFrame:
+def wanted_columns(columns: DataFrame, options: IngestOptions) -> DataFrame:
     """The metric columns to read: category rules first, then the validated list."""
-    columns = r.category_filter(headers.columns, options.categories)
-    return columns if options.validated is None else keep_validated(columns, options.validated)
+    kept = r.category_filter(columns, options.categories)
+    return kept if options.validated is None else keep_validated(kept, options.validated)
 
 
 def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> DataFrame:
@@ -69,15 +69,14 @@ def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> Da
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, store: StorePaths, ingest_seq: int, options: IngestOptions = IngestOptions(), failed: DataFrame | None = None) -> None:
     """Load reports into the store: samples, catalogue and ledger."""
-    headers = r.read_headers(spark, lines)
-    columns = wanted_columns(headers, options)
+    headers = r.read_headers(spark, lines, lambda columns: wanted_columns(columns, options))
     # Text is parsed once; samples, catalogue and ledger all start from the staged arrays.
     staged = scratch_path(spark, "lines")
     read_lines(lines, headers).write.parquet(staged)
     rows = spark.read.parquet(staged)
-    samples = to_samples(r.melt(rows, columns), options, ingest_seq)
+    samples = to_samples(r.melt(rows, headers.columns), options, ingest_seq)
     tables.upsert_samples(spark, samples, store.samples)
-    seen = r.numeric_columns(rows, columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
+    seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
     ledger = run_ledger(r.ingest_counters(rows, options.policy), ingest_seq, failed)
     tables.append_ledger(ledger, store.ledger)

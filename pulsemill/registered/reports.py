@@ -51,7 +51,7 @@ def last_write_wins(spark, sf):
 )
 def sanitize_collision(spark, sf):
     odd, even = F.col("event_id") % 3 != 0, F.col("event_id") % 2 == 0
-    numbers = F.array(F.lit(None).cast("double"), F.when(odd, F.col("value")), F.when(even, F.col("value") * 2))
+    numbers = F.array(F.when(odd, F.col("value")), F.when(even, F.col("value") * 2))
     rows = views.table(spark, sf, "events").select(
         "event_id", "ts", F.lit(1).cast("long").alias("header_id"), numbers.alias("numbers")
     )
@@ -147,9 +147,9 @@ def header_join(spark, sf):
 )
 def parse_report(spark, sf):
     lines = _reports(spark, sf)
-    headers = r.read_headers(spark, lines)
+    headers = r.read_headers(spark, lines, r.category_filter)
     rows = r.check_ts(r.check_arity(read_lines(lines, headers)))
-    values = r.value_filter(r.melt(rows, r.category_filter(headers.columns)), ["skip_zero"])
+    values = r.value_filter(r.melt(rows, headers.columns), ["skip_zero"])
     named = values.select(
         views.report_number(F.col("archive")).alias("report"), "ts", "metric", "field", "pos", "value"
     )
@@ -197,7 +197,7 @@ def ingest_counters(spark, sf):
 def metric_profile(spark, sf):
     lines = _reports(spark, sf)
     headers = r.read_headers(spark, lines)
-    rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers.files))))
+    rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers))))
     return _ntz(r.metric_profile(r.melt_raw(rows, headers.columns)), "min_ts", "max_ts")
 
 

@@ -116,14 +116,14 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = items.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus",
         F.col("l_shipdate").alias("ts"), header_id.alias("header_id"),
-        F.array(F.lit(None).cast("double"), *WIDE_FIELDS).alias("numbers"),
+        F.array(*WIDE_FIELDS).alias("numbers"),
     )
     return rows, header_columns(spark, WIDE_FIELDS)
 
 
 def header_columns(spark: SparkSession, metrics: list[str], header_id: int = 1) -> DataFrame:
-    names = [(header_id, i, m) for i, m in enumerate(metrics, start=1)]
-    columns = spark.createDataFrame(names, "header_id long, pos int, metric string")
+    names = [(header_id, slot, slot + 1, m) for slot, m in enumerate(metrics)]
+    columns = spark.createDataFrame(names, "header_id long, slot int, pos int, metric string")
     return columns.withColumn("field", sanitize_field(F.col("metric")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsemill.functions.scalars import file_name
 from pulsemill.operators.joins import new_metrics
 from pulsemill.operators.points import resolve_samples
 from pulsemill.schema import PARTITIONS, SAMPLES
@@ -92,6 +93,14 @@ def write_bronze(lines: DataFrame, path: str, mode: str = "append") -> None:
     lines.write.mode(mode).parquet(path)
 
 
+def export_reports(bronze: DataFrame, path: str) -> None:
+    """Write kept lines back as text, one folder per report. A long report becomes several
+    files whose names sort in line order."""
+    ordered = bronze.repartitionByRange("archive", "block_start", "row_id")
+    ordered = ordered.sortWithinPartitions("archive", "block_start", "row_id")
+    ordered.select(file_name(F.col("archive")).alias("report"), "line").write.partitionBy("report").text(path)
+
+
 def write_validated(metrics: DataFrame, path: str) -> None:
     """Replace the validated list, one name per line."""
     metrics.select("metric").distinct().write.mode("overwrite").text(path)

@@ -44,11 +44,13 @@ def read_archives(spark: SparkSession, path: str | list[str], pattern: str = "*.
 def expand_archives(files: DataFrame, inline_bytes: int = INLINE_BYTES) -> DataFrame:
     """Lines of the first report (by path) in each archive, or one row with the error.
 
-    ``block_start`` is the number of the first line of a run of 1024, so header lines can be
-    found without reading the rest. Decompression streams; memory does not grow with the file.
+    Small archives travel inside the row; of large ones only the path does, and the task streams
+    them. ``block_start`` is the number of the first line of a run of 1024, so header lines are
+    found without reading the rest.
     """
-    chosen = files.select("path", F.when(F.col("length") <= inline_bytes, F.col("content")).alias("content"))
-    return chosen.mapInPandas(_expand, EXPANDED)
+    small = files.filter(F.col("length") <= inline_bytes).select("path", "content")
+    large = files.filter(F.col("length") > inline_bytes).select("path", F.lit(None).cast("binary").alias("content"))
+    return small.unionByName(large).mapInPandas(_expand, EXPANDED)
 
 
 def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.operators.series import aggregate_window
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, ingest_lines
+from pulsemill.sources.archives import read_archives
 from pulsemill.sources.reports import with_line_position
 
 
@@ -30,13 +31,16 @@ def ingest_available(
     def load(batch: DataFrame, batch_id: int) -> None:
         seq = first_seq + batch_id
         if archives:
-            ingest_archives(batch.sparkSession, batch, store, seq, options)
+            # At most files_per_batch paths; the files themselves are read by the tasks.
+            paths = [row["path"] for row in batch.collect()]
+            files = read_archives(batch.sparkSession, paths)
+            ingest_archives(batch.sparkSession, files, store, seq, options)
         else:
             ingest_lines(batch.sparkSession, with_line_position(batch), store, seq, options)
 
     if archives:
         reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
-        source = reader.option("pathGlobFilter", "*.tar.xz").load(path)
+        source = reader.option("pathGlobFilter", "*.tar.xz").load(path).select("path")
     else:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         # The metadata has to be selected here to reach the batch.

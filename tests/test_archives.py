@@ -5,9 +5,10 @@ import pytest
 
 from pulsemill.operators.inventory import newest_first, state_counts
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives
-from pulsemill.sinks.tables import read_catalog, read_samples
+from pulsemill.sinks.tables import export_reports, read_catalog, read_samples
 from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, read_archives
 from pulsemill.sources.reports import read_parser_log
+from pulsemill.streaming.streams import ingest_available
 
 REPORT = "Time,mem.util.free,proc.x\n" + "".join(f"2025-10-09 12:{i // 60:02d}:{i % 60:02d},{i},1\n" for i in range(2500))
 
@@ -80,3 +81,24 @@ def test_parser_log(spark, tmp_path):
     assert [(x["log"], x["path"]) for x in rows] == [("svc", "run.log")] * 3
     assert [x["message"] for x in rows] == ["started [1]", None, "odd"]
     assert [x["ts"] is None for x in rows] == [False, True, True]
+
+
+def test_exported_reports_keep_their_lines(spark, folder, tmp_path):
+    good, _ = quarantine(expand_archives(read_archives(spark, str(folder / "input"))))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_reports(good, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted((tmp_path / "out" / "report=good.tar.xz").glob("part-*"))
+    assert len(parts) > 1
+    assert "".join(part.read_text() for part in parts) == REPORT
+
+
+def test_directory_of_archives(spark, folder, tmp_path):
+    store = StorePaths(str(tmp_path / "store"))
+    for _ in range(2):
+        ingest_available(spark, str(folder / "input"), store, str(tmp_path / "c"), archives=True, files_per_batch=3)
+    assert read_samples(spark, store.samples).count() == 2500
+    ledger = spark.read.parquet(store.ledger)
+    assert {x["status"]: x["count"] for x in ledger.groupBy("status").count().collect()} == {"processed": 1, "failed": 3}

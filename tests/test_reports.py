@@ -24,9 +24,9 @@ bad,1,2,3,4
 
 def load(spark, path, policy=(), enabled=None):
     lines = read_wide_reports(spark, str(path))
-    headers = r.read_headers(spark, lines)
+    headers = r.read_headers(spark, lines, lambda columns: r.category_filter(columns, enabled))
     rows = read_lines(lines, headers)
-    values = r.melt(rows, r.category_filter(headers.columns, enabled))
+    values = r.melt(rows, headers.columns)
     return rows, to_samples(values, IngestOptions(policy=tuple(policy)), 1)
 
 
@@ -102,7 +102,7 @@ def test_lookup_joins_shuffle_beyond_the_limit(spark, tmp_path, plan_of):
     headers = r.read_headers(spark, lines)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        attached = r.attach_header(lines, headers.files, limit=0)
+        attached = r.attach_header(lines, headers, limit=0)
         rows = r.read_numbers(r.parse_lines(attached))
         values = r.melt(rows, headers.columns, limit=0)
         assert "BroadcastHashJoin" not in plan_of(values)
@@ -126,7 +126,7 @@ def test_profile_finds_columns_that_never_give_a_number(spark, tmp_path):
     )
     lines = read_wide_reports(spark, str(tmp_path))
     headers = r.read_headers(spark, lines)
-    rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers.files))))
+    rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers))))
     profile = {x["metric"]: x for x in r.metric_profile(r.melt_raw(rows, headers.columns)).collect()}
     load_row, host = profile["kernel.all.load"], profile["pmcd.hostname"]
     assert (load_row["total"], load_row["numeric"], load_row["null_token"], load_row["valid"]) == (2, 1, 1, True)
@@ -157,9 +157,18 @@ def test_validated_list_is_applied_to_the_header(spark, tmp_path):
     (tmp_path / "names.txt").write_text("mem.util.free\n\n  a.b  \n")
     names = read_name_list(spark, str(tmp_path / "names.txt"))
     lines = read_wide_reports(spark, str(tmp_path / "in"))
-    headers = r.read_headers(spark, lines)
-    columns = keep_validated(headers.columns, names)
-    assert sorted(x["metric"] for x in columns.collect()) == ["a.b", "mem.util.free"]
+    headers = r.read_headers(spark, lines, lambda columns: keep_validated(columns, names))
+    assert sorted(x["metric"] for x in headers.columns.collect()) == ["a.b", "mem.util.free"]
+    rows = read_lines(lines, headers)
+    assert {tuple(x["numbers"]) for x in rows.filter("numbers IS NOT NULL").collect()} == {(0.0, 5.0), (None, 5.0)}
+    assert sorted(x["metric"] for x in r.melt(rows, headers.columns).collect()) == ["a.b", "a.b", "mem.util.free"]
+
+
+def test_reports_with_no_wanted_column(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("Time,proc.a,nfs.b\n2025-10-09 12:00:00,1,2\n")
+    rows, samples = load(spark, tmp_path)
+    assert samples.count() == 0
+    assert tuple(r.ingest_counters(rows).select("lines", "points", "values", "bad_ts").first()) == (1, 0, 0, 0)
 
 
 cell = st.one_of(
