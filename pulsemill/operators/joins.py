@@ -47,10 +47,10 @@ def with_device_tags(
     registry: DataFrame,
     product_type: str,
     serial: str,
-    on: str = "archive",
+    on: str = "device",
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Tags per archive from a registry (unique on ``on``), the given pair where it has none."""
+    """Tags per device from a registry (unique on ``on``), the given pair where it has none."""
     tags = registry.select(on, "product_type", "serialNumber")
     joined = side_join(df, tags, on, "left", limit)
     return joined.withColumns(

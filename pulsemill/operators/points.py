@@ -26,7 +26,7 @@ def last_write_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFra
 
 def resolve_samples(samples: DataFrame) -> DataFrame:
     """One value per series and time; also settles metrics that share a field name in a line."""
-    return last_write_wins(samples, [*SERIES, "ts", "d"], WRITE_ORDER)
+    return last_write_wins(samples, [*SERIES, "ts"], WRITE_ORDER)
 
 
 def resolve_collisions(line_values: DataFrame, line_key: list[str]) -> DataFrame:

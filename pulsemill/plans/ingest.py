@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.operators import reports as r
@@ -19,10 +20,14 @@ from pulsemill.sources.archives import expand_archives, quarantine
 
 @dataclass(frozen=True)
 class IngestOptions:
+    """What to read and how to tag it. ``registry`` (device, product_type, serialNumber) gives
+    tags per device; ``device_key`` finds the device of an archive from its path."""
+
     measurement: str = DEFAULT_MEASUREMENT
     product_type: str = DEFAULT_PRODUCT_TYPE
     serial: str = DEFAULT_SERIAL
     registry: DataFrame | None = None
+    device_key: Callable[[Column], Column] = lambda archive: archive
     validated: DataFrame | None = None
     categories: dict[str, bool] = field(default_factory=dict)
     policy: tuple[str, ...] = ()
@@ -51,13 +56,17 @@ def wanted_columns(columns: DataFrame, options: IngestOptions) -> DataFrame:
     return kept if options.validated is None else keep_validated(kept, options.validated)
 
 
-def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> DataFrame:
-    kept = r.value_filter(values, options.policy)
+def tag_rows(rows: DataFrame, options: IngestOptions) -> DataFrame:
+    """Device tags, looked up once per line and not once per value."""
     if options.registry is None:
-        tagged = with_tags(kept, options.product_type, options.serial)
-    else:
-        tagged = with_device_tags(kept, options.registry, options.product_type, options.serial)
-    full = tagged.withColumns(
+        return with_tags(rows, options.product_type, options.serial)
+    keyed = rows.withColumn("device", options.device_key(F.col("archive")))
+    tagged = with_device_tags(keyed, options.registry, options.product_type, options.serial, on="device")
+    return tagged.drop("device")
+
+
+def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> DataFrame:
+    full = r.value_filter(values, options.policy).withColumns(
         {
             "measurement": F.lit(options.measurement),
             "ingest_seq": F.lit(ingest_seq).cast("long"),
@@ -67,14 +76,21 @@ def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> Da
     return full.select(*SAMPLES.names)
 
 
-def ingest_lines(spark: SparkSession, lines: DataFrame, store: StorePaths, ingest_seq: int, options: IngestOptions = IngestOptions(), failed: DataFrame | None = None) -> None:
+def ingest_lines(
+    spark: SparkSession,
+    lines: DataFrame,
+    store: StorePaths,
+    ingest_seq: int,
+    options: IngestOptions = IngestOptions(),
+    failed: DataFrame | None = None,
+) -> None:
     """Load reports into the store: samples, catalogue and ledger."""
     headers = r.read_headers(spark, lines, lambda columns: wanted_columns(columns, options))
     # Text is parsed once; samples, catalogue and ledger all start from the staged arrays.
     staged = scratch_path(spark, "lines")
     read_lines(lines, headers).write.parquet(staged)
     rows = spark.read.parquet(staged)
-    samples = to_samples(r.melt(rows, headers.columns), options, ingest_seq)
+    samples = to_samples(r.melt(tag_rows(rows, options), headers.columns), options, ingest_seq)
     tables.upsert_samples(spark, samples, store.samples)
     seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
@@ -82,7 +98,14 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, store: StorePaths, inges
     tables.append_ledger(ledger, store.ledger)
 
 
-def ingest_archives(spark: SparkSession, files: DataFrame, store: StorePaths, ingest_seq: int, options: IngestOptions = IngestOptions(), keep_bronze: bool = False) -> None:
+def ingest_archives(
+    spark: SparkSession,
+    files: DataFrame,
+    store: StorePaths,
+    ingest_seq: int,
+    options: IngestOptions = IngestOptions(),
+    keep_bronze: bool = False,
+) -> None:
     """Load compressed archives. They are expanded once, into a table everything else reads."""
     path = f"{store.bronze}/load={ingest_seq}" if keep_bronze else scratch_path(spark, "expanded")
     tables.write_bronze(expand_archives(files), path, mode="overwrite")

@@ -327,5 +327,5 @@ def device_join(spark, sf):
         F.col("c_custkey").cast("string").alias("serialNumber"),
     )
     rows = telemetry(spark, sf).withColumn("device", F.col("user_id") * 20).drop(*TAGS)
-    tagged = joins.with_device_tags(rows, registry, "SERVER1", "1234", on="device")
+    tagged = joins.with_device_tags(rows, registry, "SERVER1", "1234")
     return tagged.select("event_id", *TAGS, "metric")

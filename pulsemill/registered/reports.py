@@ -212,18 +212,20 @@ def bronze_roundtrip(spark, sf):
     return kept.groupBy("report").agg(F.count("*").alias("n"), F.count_if(F.trim("line") != "").alias("n_filled"))
 
 
-def device_registry(lines):
+def report_devices(spark, sf):
     """Each report is a device: its number is the serial."""
-    number = views.report_number(F.col("archive"))
-    return lines.select("archive").distinct().select(
-        "archive", F.concat(F.lit("RACK"), (number % 4).cast("string")).alias("product_type"),
-        number.cast("string").alias("serialNumber"),
+    device = F.floor(F.col("event_id") / views.REPORT_LINES).alias("device")
+    devices = views.table(spark, sf, "events").select(device).distinct()
+    registry = devices.select(
+        "device",
+        F.concat(F.lit("RACK"), (F.col("device") % 4).cast("string")).alias("product_type"),
+        F.col("device").cast("string").alias("serialNumber"),
     )
+    return IngestOptions(registry=registry, device_key=views.report_number, categories={"proc": True, "nfs": True})
 
 
 STORED_SQL = """select 'RACK' || cast(report % 4 as varchar) as product_type, cast(report as varchar) as "serialNumber",
       ts, metric, field, value from report_samples"""
-_ALL = {"proc": True, "nfs": True}
 
 
 def stored(spark, store):
@@ -235,9 +237,8 @@ def stored(spark, store):
 def store_upsert(spark, sf):
     lines = _reports(spark, sf)
     store = StorePaths(scratch_path(spark, "store"))
-    options = IngestOptions(registry=device_registry(lines), categories=_ALL)
     for load in (1, 2):
-        ingest_lines(spark, lines, store, load, options)
+        ingest_lines(spark, lines, store, load, report_devices(spark, sf))
     return stored(spark, store).select("product_type", "serialNumber", "ts", "metric", "field", "value")
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulsemill.plans.ingest import IngestOptions, StorePaths
+from pulsemill.plans.ingest import StorePaths
 from pulsemill.registered import views
 from pulsemill.registered.registry import query
-from pulsemill.registered.reports import STORED_SQL, _ALL, device_registry, stored
+from pulsemill.registered.reports import STORED_SQL, report_devices, stored
 from pulsemill.session import apply_settings, scratch_path
-from pulsemill.sources.reports import read_wide_reports
 from pulsemill.streaming import streams as st
 
 
@@ -51,8 +50,7 @@ def stream_ingest(spark, sf):
     path = views.write_reports(spark, sf)
     store = StorePaths(scratch_path(spark, "store"))
     checkpoint = scratch_path(spark, "ingest-checkpoint")
-    options = IngestOptions(registry=device_registry(read_wide_reports(spark, path)), categories=_ALL)
     # The second run finds nothing new.
     for _ in range(2):
-        st.ingest_available(spark, path, store, checkpoint, options)
+        st.ingest_available(spark, path, store, checkpoint, report_devices(spark, sf))
     return stored(spark, store).select("product_type", "serialNumber", "ts", "metric", "field", "value")

@@ -10,6 +10,8 @@ from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, i
 from pulsemill.sources.archives import read_archives
 from pulsemill.sources.reports import with_line_position
 
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
 
 def ingest_available(
     spark: SparkSession,
@@ -39,7 +41,8 @@ def ingest_available(
             ingest_lines(batch.sparkSession, with_line_position(batch), store, seq, options)
 
     if archives:
-        reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
         source = reader.option("pathGlobFilter", "*.tar.xz").load(path).select("path")
     else:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill.operators import reports as r
 from pulsemill.operators.joins import keep_validated
 from pulsemill.operators.points import assemble_points, explode_points, resolve_samples
-from pulsemill.plans.ingest import IngestOptions, read_lines, to_samples
+from pulsemill.plans.ingest import IngestOptions, read_lines, tag_rows, to_samples
 from pulsemill.schema import POINT
 from pulsemill.sources.reports import read_name_list, read_wide_reports
 
@@ -26,8 +26,8 @@ def load(spark, path, policy=(), enabled=None):
     lines = read_wide_reports(spark, str(path))
     headers = r.read_headers(spark, lines, lambda columns: r.category_filter(columns, enabled))
     rows = read_lines(lines, headers)
-    values = r.melt(rows, headers.columns)
-    return rows, to_samples(values, IngestOptions(policy=tuple(policy)), 1)
+    options = IngestOptions(policy=tuple(policy))
+    return rows, to_samples(r.melt(tag_rows(rows, options), headers.columns), options, 1)
 
 
 def triples(samples):
