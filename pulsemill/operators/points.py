@@ -29,6 +29,16 @@ def resolve_samples(samples: DataFrame) -> DataFrame:
     return last_write_wins(samples, [*SERIES, "ts"], WRITE_ORDER)
 
 
+def claimed_twice(lines: DataFrame) -> DataFrame:
+    """Points (device and time) that more than one line writes to."""
+    return lines.groupBy(*TAGS, "ts").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+
+
+def shared_fields(columns: DataFrame) -> DataFrame:
+    """Fields that more than one column of a header writes to."""
+    return columns.groupBy("header_id", "field").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+
+
 def resolve_collisions(line_values: DataFrame, line_key: list[str]) -> DataFrame:
     """Within one line, the last column of those that share a field name."""
     return last_write_wins(line_values, [*line_key, "field"], ["pos"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from pulsemill.operators import reports as r
 from pulsemill.operators.catalog import seen_metrics
 from pulsemill.operators.inventory import run_ledger
-from pulsemill.operators.joins import keep_validated, with_device_tags, with_tags
-from pulsemill.schema import DEFAULT_MEASUREMENT, DEFAULT_PRODUCT_TYPE, DEFAULT_SERIAL, SAMPLES
+from pulsemill.operators.joins import keep_validated, side_join, with_device_tags, with_tags
+from pulsemill.operators.points import claimed_twice, resolve_samples, shared_fields
+from pulsemill.schema import DEFAULT_MEASUREMENT, DEFAULT_PRODUCT_TYPE, DEFAULT_SERIAL, SAMPLES, TAGS
 from pulsemill.session import scratch_path
 from pulsemill.sinks import tables
 from pulsemill.sources.archives import expand_archives, quarantine
@@ -76,6 +78,34 @@ def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> Da
     return full.select(*SAMPLES.names)
 
 
+def resolved_samples(
+    spark: SparkSession, rows: DataFrame, columns: DataFrame, options: IngestOptions, ingest_seq: int
+) -> DataFrame:
+    """Samples of tagged lines, one per series and time.
+
+    Two values can only meet if two lines claim the same device and time, or two columns of a
+    header share a field. Both are found on lines and headers, of which there are thousands of
+    times fewer than values. All other values are unique and are never sorted or shuffled here.
+    """
+
+    def samples(lines: DataFrame, chosen: DataFrame) -> DataFrame:
+        return to_samples(r.melt(lines, chosen), options, ingest_seq)
+
+    path = scratch_path(spark, "claims")
+    claimed_twice(rows.filter("arity_ok AND ts IS NOT NULL")).write.parquet(path)
+    claims, key = spark.read.parquet(path), [*TAGS, "ts"]
+    shared, column = shared_fields(columns), ["header_id", "field"]
+
+    lone_lines, lone_columns, parts = rows, columns, []
+    if not claims.isEmpty():
+        lone_lines = side_join(rows, claims, key, "left_anti")
+        parts.append(resolve_samples(samples(side_join(rows, claims, key, "left_semi"), columns)))
+    if not shared.isEmpty():
+        lone_columns = side_join(columns, shared, column, "left_anti")
+        parts.append(resolve_samples(samples(lone_lines, side_join(columns, shared, column, "left_semi"))))
+    return reduce(DataFrame.unionByName, parts, samples(lone_lines, lone_columns))
+
+
 def ingest_lines(
     spark: SparkSession,
     lines: DataFrame,
@@ -90,8 +120,11 @@ def ingest_lines(
     staged = scratch_path(spark, "lines")
     read_lines(lines, headers).write.parquet(staged)
     rows = spark.read.parquet(staged)
-    samples = to_samples(r.melt(tag_rows(rows, options), headers.columns), options, ingest_seq)
-    tables.upsert_samples(spark, samples, store.samples)
+    tagged = tag_rows(rows, options)
+    samples = resolved_samples(spark, tagged, headers.columns, options, ingest_seq)
+    usable = tagged.filter("arity_ok AND ts IS NOT NULL")
+    dated = usable.withColumns({"d": F.to_date("ts"), "measurement": F.lit(options.measurement)})
+    tables.merge_samples(spark, samples, store.samples, tables.time_spans(dated))
     seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
     ledger = run_ledger(r.ingest_counters(rows, options.policy), ingest_seq, failed)

@@ -54,38 +54,71 @@ def write_samples(samples: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def upsert_samples(spark: SparkSession, samples: DataFrame, root: str) -> None:
-    """Merge a load into the store, last write wins; repeating a load changes nothing.
+    """Merge a load into the store, last write wins; repeating a load changes nothing."""
+    merge_samples(spark, resolve_samples(samples.select(*SAMPLES.names)), root)
 
-    A first load is written straight away. Later ones are staged in the shared scratch folder,
-    because the partitions they touch are read and then replaced. Untouched partitions are
-    neither read nor rewritten.
+
+def merge_samples(spark: SparkSession, fresh: DataFrame, root: str, spans: DataFrame | None = None) -> None:
+    """Merge a load that has one value per series and time.
+
+    Partitions in which no device's new time span meets its stored one are only appended to;
+    the others are read, resolved, staged in the shared scratch folder and replaced. ``spans``
+    (see ``time_spans``) saves a pass over the load where the caller knows them already.
     """
-    fresh = resolve_samples(samples.select(*SAMPLES.names))
     if read_samples(spark, root).isEmpty():
         write_samples(fresh, root)
         return
-    staged = scratch_path(spark, "upsert")
-    fresh.write.parquet(f"{staged}/new")
-    new = spark.read.schema(SAMPLES).parquet(f"{staged}/new")
-    touched = new.select(*PARTITIONS).distinct()
-    old = _touched_rows(read_samples(spark, root), touched)
-    resolve_samples(old.unionByName(new)).write.parquet(f"{staged}/merged")
-    write_samples(spark.read.schema(SAMPLES).parquet(f"{staged}/merged"), root, mode="overwrite")
-
-
-def _touched_rows(stored: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of the touched partitions. The bounds prune directories at planning time."""
-    span = touched.agg(
+    staged = scratch_path(spark, "merge")
+    if spans is None:
+        fresh = _staged(spark, fresh, f"{staged}/new")
+        spans = time_spans(fresh)
+    spans.write.parquet(f"{staged}/spans")
+    new_spans = spark.read.parquet(f"{staged}/spans")
+    stored = _same_partitions(read_samples(spark, root), new_spans)
+    overlaps(time_spans(stored), new_spans).write.parquet(f"{staged}/overlaps")
+    replaced = spark.read.parquet(f"{staged}/overlaps")
+    if replaced.isEmpty():
+        write_samples(fresh, root)
+        return
+    # One row per partition directory, the list Spark itself keeps of the store.
+    replaced = F.broadcast(replaced)
+    both = stored.join(replaced, PARTITIONS, "left_semi").unionByName(fresh.join(replaced, PARTITIONS, "left_semi"))
+    merged = _staged(spark, resolve_samples(both), f"{staged}/merged")
+    write_samples(fresh.join(replaced, PARTITIONS, "left_anti"), root)
+    write_samples(merged, root, mode="overwrite")
+
+
+def _staged(spark: SparkSession, samples: DataFrame, path: str) -> DataFrame:
+    samples.select(*SAMPLES.names).write.parquet(path)
+    return spark.read.schema(SAMPLES).parquet(path)
+
+
+_DEVICE_DAY = [*PARTITIONS, "measurement", "serialNumber"]
+
+
+def time_spans(rows: DataFrame) -> DataFrame:
+    """First and last time of each device and day."""
+    return rows.groupBy(*_DEVICE_DAY).agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+
+
+def overlaps(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Partitions in which the time span of a device's new samples meets that of its stored ones."""
+    new = new.withColumnsRenamed({"low": "new_low", "high": "new_high"})
+    meet = (F.col("new_low") <= F.col("high")) & (F.col("low") <= F.col("new_high"))
+    return stored.join(new, _DEVICE_DAY).filter(meet).select(*PARTITIONS).distinct()
+
+
+def _same_partitions(stored: DataFrame, spans: DataFrame) -> DataFrame:
+    """Cut the store to the days and, if not too many, the product types of a load. These are
+    plain values, so that directories are pruned at planning time."""
+    days = spans.agg(
         F.min("d").alias("low"), F.max("d").alias("high"), F.count_distinct("product_type").alias("types")
     ).first()
-    if span["low"] is None:
-        return stored.limit(0)
-    pruned = stored.filter(F.col("d").between(F.lit(span["low"]), F.lit(span["high"])))
-    if span["types"] <= _MAX_LISTED_TYPES:
-        names = [r["product_type"] for r in touched.select("product_type").distinct().collect()]
+    pruned = stored.filter(F.col("d").between(F.lit(days["low"]), F.lit(days["high"])))
+    if 0 < days["types"] <= _MAX_LISTED_TYPES:
+        names = [row["product_type"] for row in spans.select("product_type").distinct().collect()]
         pruned = pruned.filter(F.col("product_type").isin(names))
-    # One row per directory of the store, the list Spark itself keeps when it reads it.
-    return pruned.join(F.broadcast(touched), PARTITIONS, "left_semi")
+    return pruned
 
 
 def write_bronze(lines: DataFrame, path: str, mode: str = "append") -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill.operators import reports as r
 from pulsemill.operators.joins import keep_validated
 from pulsemill.operators.points import assemble_points, explode_points, resolve_samples
-from pulsemill.plans.ingest import IngestOptions, read_lines, tag_rows, to_samples
+from pulsemill.plans.ingest import IngestOptions, read_lines, resolved_samples, tag_rows, to_samples
 from pulsemill.schema import POINT
 from pulsemill.sources.reports import read_name_list, read_wide_reports
 
@@ -171,6 +171,26 @@ def test_reports_with_no_wanted_column(spark, tmp_path):
     assert tuple(r.ingest_counters(rows).select("lines", "points", "values", "bad_ts").first()) == (1, 0, 0, 0)
 
 
+def test_only_contested_values_are_resolved(spark, tmp_path, plan_of):
+    """Lines of one device that claim a time twice, and columns that share a field."""
+    (tmp_path / "1.csv").write_text("Time,a.b,c,a-b\n2025-10-09 12:00:00,1,2,3\n2025-10-09 12:00:01,4,5,\n")
+    (tmp_path / "2.csv").write_text("Time,c,d\n2025-10-09 12:00:01,7,8\n2025-10-09 12:00:02,9,x\n2025-10-09 12:00:02,,10\n")
+    lines = read_wide_reports(spark, str(tmp_path))
+    headers, options = r.read_headers(spark, lines), IngestOptions()
+    rows = tag_rows(read_lines(lines, headers), options)
+    resolved = resolved_samples(spark, rows, headers.columns, options, 1)
+    everything = resolve_samples(to_samples(r.melt(rows, headers.columns), options, 1))
+    assert sorted(map(str, resolved.collect())) == sorted(map(str, everything.collect()))
+    assert triples(resolved) == [
+        ("12:00:00", "a_b", 3.0), ("12:00:00", "c", 2.0), ("12:00:01", "a_b", 4.0), ("12:00:01", "c", 7.0),
+        ("12:00:01", "d", 8.0), ("12:00:02", "c", 9.0), ("12:00:02", "d", 10.0),
+    ]
+    apart = IngestOptions(device_key=lambda a: F.substring_index(a, "/", -1), registry=spark.sql("select '1.csv' device, 'S' product_type, '1' serialNumber"))
+    first = rows.filter("archive like '%1.csv'").drop("product_type", "serialNumber")
+    columns = headers.columns.filter("metric <> 'a-b'")
+    assert "Aggregate" not in plan_of(resolved_samples(spark, tag_rows(first, apart), columns, apart, 1))
+
+
 cell = st.one_of(
     st.integers(-999, 999).map(str), st.sampled_from(["", "N/A", "?", "none", "x", "1e2", "0.0", ' "3" ', "1d"])
 )

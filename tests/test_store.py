@@ -32,6 +32,17 @@ def test_upsert_replaces_only_what_it_touches(spark, tmp_path):
     assert newest.filter("value >= 100").count() == 100 and stored.filter("value < 100").count() == 100
 
 
+def test_other_times_and_devices_are_appended(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    upsert_samples(spark, spark.createDataFrame(rows([1, 2], 1), SAMPLES), path)
+    before = files(path, 1)
+    later = [(*r[:3], r[3] + dt.timedelta(hours=1), *r[4:]) for r in rows([1], 2)]
+    other = [(*r[:2], "008", *r[3:]) for r in rows([1], 2)]
+    upsert_samples(spark, spark.createDataFrame(later + other, SAMPLES), path)
+    assert set(before) < set(files(path, 1))
+    assert read_samples(spark, path).count() == 200
+
+
 def test_older_load_does_not_overwrite(spark, tmp_path):
     path = str(tmp_path / "samples")
     upsert_samples(spark, spark.createDataFrame(rows([1], 5, shift=100.0), SAMPLES), path)
