@@ -40,9 +40,15 @@ SAVED_PANELS = {
 }
 
 
-def panel_rows(samples: DataFrame, panel: Panel, product_type: str = s.ANY, serial: str = s.ANY) -> DataFrame:
+def panel_rows(
+    samples: DataFrame,
+    panel: Panel,
+    product_type: str = s.ANY,
+    serial: str = s.ANY,
+    measurement: str | None = None,
+) -> DataFrame:
     """The samples a panel draws. Panels with tag filters take ANY for either tag."""
-    rows = samples
+    rows = samples if measurement is None else samples.filter(samples["measurement"] == measurement)
     if panel.tagged:
         rows = s.tag_any(s.tag_any(rows, "product_type", product_type), "serialNumber", serial)
     return s.metric_equals(rows, panel.pattern) if panel.exact else s.where_metric(rows, panel.pattern)
@@ -56,10 +62,11 @@ def panel_query(
     stop,
     product_type: str = s.ANY,
     serial: str = s.ANY,
+    measurement: str | None = None,
     metrics: list[str] | None = None,
 ) -> DataFrame:
     """Windowed means of a panel: long, or one column per name in ``metrics`` if it pivots."""
-    rows = panel_rows(samples, panel, product_type, serial)
+    rows = panel_rows(samples, panel, product_type, serial, measurement)
     if panel.pivot and metrics is not None:
         return s.pivot_window(rows, every, metrics, TAGS, start, stop)
     return s.aggregate_window(rows, every, [*TAGS, "metric"], start, stop)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.series import aggregate_window
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, ingest_lines
@@ -80,6 +81,12 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
+def start_refreshing(stream: DataFrame, path: str, checkpoint: str, every: str = "30 seconds") -> StreamingQuery:
+    """Keep a stream's Parquet output up to date until the returned query is stopped."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=every).start()
+
+
 def as_event_time(df: DataFrame) -> DataFrame:
     """Watermarks need a zoned timestamp."""
     return df.withColumn("ts", F.col("ts").cast("timestamp"))

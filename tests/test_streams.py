@@ -60,3 +60,20 @@ def test_windows_close_after_lateness(spark, tmp_path):
     got = {x["t"].strftime("%H:%M"): x["value"] for x in spark.read.parquet(str(tmp_path / "out")).select(F.col("t").cast("timestamp_ntz").alias("t"), "value").collect()}
     # The last sample is at 15:15, so windows that end by 14:45 are final.
     assert got == {"12:30": 12.5, "13:00": 42.5, "13:30": 72.5, "14:00": 102.5, "14:30": 132.5}
+
+
+def test_refreshing_output_grows_with_its_source(spark, tmp_path):
+    schema = "metric string, ts timestamp, value double"
+    write = lambda m: spark.createDataFrame([("m", T0 + dt.timedelta(minutes=m), 1.0)], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    write(0)
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    means = st.stream_window(stream, "1 minute", "1 minute", ["metric"])
+    query = st.start_refreshing(means, str(tmp_path / "out"), str(tmp_path / "c"), "1 second")
+    try:
+        for minute in (10, 20):
+            write(minute)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    ends = {x["t"].strftime("%H:%M") for x in spark.read.parquet(str(tmp_path / "out")).select(F.col("t").cast("timestamp_ntz").alias("t")).collect()}
+    assert ends == {"12:01", "12:11"}
