@@ -5,8 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import pulsemill
+
+# Functions that run in tasks travel with their code, so the package need not be installed on the workers.
+cloudpickle.register_pickle_by_value(pulsemill)
+
 # Telemetry timestamps carry no zone and are read as UTC.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
