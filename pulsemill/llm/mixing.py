@@ -1,8 +1,8 @@
 """Mixing sources to target weights: hash-random order, distributed prefix sums, an exact cut.
 
 Each source gets a target number of words. Its documents are put in a random but fixed order
-by a hash, cut into ranges of the hash, and summed: range totals give offsets, a window inside
-each range gives the rest. Documents before the cut are taken whole, the one on the cut in
+by a hash, cut into ranges of the hash (as many as a range has rows), and summed: range totals
+give offsets, a window inside each range gives the rest. Documents before the cut are taken whole, the one on the cut in
 part. Where the target passes the source's size, every document is taken once per full epoch
 and the cut falls in the last one.
 
@@ -22,7 +22,6 @@ from pulsemill.llm.text import WORD_PATTERN
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2
-ROWS_IN_RANGE = 20_000
 _KEY_BITS = 60
 
 
@@ -92,7 +91,7 @@ def mix_rows(documents: DataFrame, **targets: object) -> DataFrame:
         rows.alias("r")
         .join(per_source.alias("t"), same_source)
         .select("r.*", "t.source_size", "t.target", "t.n_rows")
-        .withColumn("ranges", F.ceil(F.col("n_rows") / ROWS_IN_RANGE))
+        .withColumn("ranges", F.ceil(F.sqrt("n_rows")))
         .withColumn("range", F.floor(F.col("row_key") / F.lit(float(1 << _KEY_BITS)) * F.col("ranges")))
         .withColumn("words", F.col("size") * F.col("alike"))
     )
