@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import html_text, mixing, quality, secret_scan, token_counts, toxicity
+from pulsemill.llm import decontaminate, html_text, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity
 from pulsemill.llm.frames import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,19 @@ LLM_SQL["op8_source_mix"] = (
 def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return quality.line_quality(documents, quality.fit_field(documents, read_table(spark, sf_dir, "labels")))
+
+
+@_query
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(spark, read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@_query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.duplicate_classes(spark, read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(spark, documents, benchmark).drop("mark")
