@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsemill.llm.frames import map_texts, staged
+from pulsemill.llm.frames import free_name, map_texts, staged
 from pulsemill.llm.text import Words, mix, split_words, windows
 
 N = 4
@@ -37,15 +37,15 @@ PART_HASHES = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 
-_PUNCTUATION = np.zeros(256, bool)
-_PUNCTUATION[np.frombuffer(b".,;:!?\"'()[]{}<>*_#|", np.uint8)] = True
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[np.frombuffer(b".,;:!?\"'()[]{}<>*_#|", np.uint8)] = True
 
 
 def plain_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words without case and punctuation, and their texts; words of nothing else are left out."""
     if not len(words.data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    skip = _PUNCTUATION[words.data]
+    skip = PUNCTUATION[words.data]
     hashes = words.hashes(lower=True, skip=skip)
     total = np.concatenate([[0], np.cumsum(~skip)])
     some = total[words.ends] > total[words.starts]
@@ -235,6 +235,7 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame,
 def drop_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no test item, with all their columns."""
     leaks = staged(spark, find_leaks(spark, documents, benchmark), "leaks")
-    leaks = leaks.select(F.col("doc_id").alias("__leak_id"), F.col("mark").alias("__leak_mark")).distinct()
-    same = documents["doc_id"].eqNullSafe(leaks["__leak_id"]) & (F.xxhash64(documents["text"]) == leaks["__leak_mark"])
+    leak_id, leak_mark = free_name(documents, "__leak_id"), free_name(documents, "__leak_mark")
+    leaks = leaks.select(F.col("doc_id").alias(leak_id), F.col("mark").alias(leak_mark)).distinct()
+    same = documents["doc_id"].eqNullSafe(leaks[leak_id]) & (F.xxhash64(documents["text"]) == leaks[leak_mark])
     return documents.join(leaks, same, "left_anti")

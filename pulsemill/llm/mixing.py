@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsemill.llm.frames import free_name
 from pulsemill.llm.text import WORD_PATTERN
 
 WEIGHTS = (3, 1, 2)
@@ -72,24 +73,22 @@ def source_targets(
     return levelled.select("source", "source_size", "n_rows", target.alias("target"))
 
 
-def mix_rows(documents: DataFrame, **targets: object) -> DataFrame:
-    """One row per document: doc_id, source, row_key, size, source_size, target, taken.
+def _keyed(documents: DataFrame, size: str, key: str) -> DataFrame:
+    return documents.withColumn(size, word_count(F.col("text"))).withColumn(key, random_key(F.col("doc_id"), F.col("text")))
 
-    ``row_key`` is the random key; documents alike in doc_id and text share it.
-    """
+
+def _places(keyed: DataFrame, size: str, key: str, **targets: object) -> DataFrame:
+    """One row for rows alike in source, key, id and size: their number, and the words before them in their source."""
     rows = (
-        documents.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), random_key(F.col("doc_id"), F.col("text")).alias("row_key")
-        )
+        keyed.select("doc_id", "source", F.col(size).alias("size"), F.col(key).alias("row_key"))
         .groupBy("source", "row_key", "doc_id", "size")
         .agg(F.count("*").alias("alike"))
     )
     totals = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("alike")).alias("source_size"), F.count("*").alias("n_rows"))
     per_source = source_targets(totals, **targets)
-    same_source = F.col("r.source").eqNullSafe(F.col("t.source"))
     placed = (
         rows.alias("r")
-        .join(per_source.alias("t"), same_source)
+        .join(per_source.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
         .select("r.*", "t.source_size", "t.target", "t.n_rows")
         .withColumn("ranges", F.ceil(F.sqrt("n_rows")))
         .withColumn("range", F.floor(F.col("row_key") / F.lit(float(1 << _KEY_BITS)) * F.col("ranges")))
@@ -99,19 +98,56 @@ def mix_rows(documents: DataFrame, **targets: object) -> DataFrame:
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = offsets.select("source", "range", F.coalesce(F.sum("range_words").over(earlier), F.lit(0)).alias("range_start"))
     inside = Window.partitionBy("source", "range").orderBy("row_key", F.col("doc_id").asc_nulls_first(), "size")
-    summed = (
-        placed.withColumn("in_range", F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, -1)))
+    before = F.coalesce(F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    same_range = F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p.range") == F.col("o.range"))
+    return (
+        placed.withColumn("in_range", before)
         .alias("p")
-        .join(offsets.alias("o"), F.col("p.source").eqNullSafe(F.col("o.source")) & (F.col("p.range") == F.col("o.range")))
-        .select("p.*", "o.range_start")
-    )
-    # Rows alike are numbered here, after the sums.
-    copies = summed.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("alike") - 1)).alias("copy"))
-    before = F.col("range_start") + F.coalesce("in_range", F.lit(0)) + F.col("copy") * F.col("size")
+        .join(offsets.alias("o"), same_range)
+        .select(
+            "p.source", "p.row_key", "p.doc_id", "p.size", "p.alike", "p.source_size", "p.target",
+            (F.col("range_start") + F.col("in_range")).alias("before"),
+        )
+    )
+
+
+def _taken(copy: Column) -> Column:
+    """Words the mix takes of one of the rows alike, the first being copy 0."""
+    before = F.col("before") + copy * F.col("size")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
     cut = F.floor("target").cast("bigint") - epochs * F.col("source_size")
-    taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), cut - before))
-    return copies.select("doc_id", "source", "row_key", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+    return (epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), cut - before))).cast("bigint")
+
+
+def mix_rows(documents: DataFrame, **targets: object) -> DataFrame:
+    """One row per document: doc_id, source, row_key, size, source_size, target, taken.
+
+    ``row_key`` is the random key; documents alike in doc_id and text share it.
+    """
+    places = _places(_keyed(documents.select("doc_id", "source", "text"), "size", "row_key"), "size", "row_key", **targets)
+    # Rows alike are numbered here, after the sums.
+    copies = places.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("alike") - 1)).alias("copy"))
+    return copies.select("doc_id", "source", "row_key", "size", "source_size", "target", _taken(F.col("copy")).alias("taken"))
+
+
+def mix_documents(documents: DataFrame, **targets: object) -> DataFrame:
+    """The documents the mix takes words of, with all their columns and ``taken`` (a free name if there is one)."""
+    size, key, taken = (free_name(documents, name) for name in ("__size", "__row_key", "taken"))
+    keyed = _keyed(documents, size, key)
+    places = _places(keyed, size, key, **targets)
+    here, there = keyed.alias("d"), places.alias("m")
+    same = (
+        (F.col(f"d.{key}") == F.col("m.row_key"))
+        & F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
+        & F.col("d.source").eqNullSafe(F.col("m.source"))
+        & (F.col(f"d.{size}") == F.col("m.size"))
+    )
+    plan = F.struct("m.size", "m.source_size", "m.target", "m.before").alias("plan")
+    whole = F.struct(*(F.col(f"d.`{c}`") for c in documents.columns)).alias("row")
+    joined = here.join(there, same).select(whole, plan, F.struct("m.row_key", "m.doc_id", "m.source", "m.size").alias("alike"))
+    copy = F.row_number().over(Window.partitionBy("alike").orderBy(F.lit(0))) - 1
+    counted = joined.select("row", "plan.*", copy.alias("copy")).select("row", _taken(F.col("copy")).alias("words"))
+    return counted.where("words > 0").select("row.*", F.col("words").alias(taken))
 
 
 # The same rows without ranges: one running sum per source.

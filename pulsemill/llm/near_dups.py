@@ -298,12 +298,10 @@ def keep_one(spark: SparkSession, documents: DataFrame) -> DataFrame:
     rows = _class_rows(spark, documents).where("class is not null")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
     chosen = staged(spark, rows.groupBy("class").agg(F.min(order).alias("c")).select("c.doc_id", "c.node"), "chosen")
-    node, rank = free_name(documents, "__node"), free_name(documents, "__rank")
+    node, rank, kept_id, kept_node = (free_name(documents, n) for n in ("__node", "__rank", "__kept_id", "__kept_node"))
     named = with_node(documents, node)
-    chosen = chosen.select(F.col("doc_id").alias("__kept_id"), F.col("node").alias("__kept_node"))
-    kept = named.join(
-        chosen, named["doc_id"].eqNullSafe(chosen["__kept_id"]) & (named[node] == chosen["__kept_node"])
-    )
-    same = Window.partitionBy("__kept_id", "__kept_node").orderBy(F.xxhash64("text"))
+    chosen = chosen.select(F.col("doc_id").alias(kept_id), F.col("node").alias(kept_node))
+    kept = named.join(chosen, named["doc_id"].eqNullSafe(chosen[kept_id]) & (named[node] == chosen[kept_node]))
+    same = Window.partitionBy(kept_id, kept_node).orderBy(F.xxhash64("text"))
     kept = kept.withColumn(rank, F.row_number().over(same)).where(F.col(rank) == 1).select(*documents.columns)
     return kept.union(named.where(F.col(node).isNull()).select(*documents.columns))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, html_text, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity
+from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity
 from pulsemill.llm.frames import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.find_leaks(spark, documents, benchmark).drop("mark")
+
+
+@_query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(read_table(spark, sf_dir, "documents"))
