@@ -6,11 +6,14 @@ register keeps the shingle that arrived first. Two texts agree in a register wit
 probability Jaccard similarity of their weights (Ertl, ProbMinHash). A shingle stops as soon
 as its next arrival is later than the latest register of its text.
 
-Registers are banded. In each bucket all texts are compared with one head (three orders of
-texts deal the heads), and the verified links give components. What is then left apart inside
-a bucket is compared text by text, unless the distances to the bucket's head, which is a
-metric's triangle, already rule a link out. So no bucket is expanded into all its pairs, and
-no link between texts that share a bucket is lost.
+Registers are banded. In each bucket all texts are compared with one head, the text that meets
+the most others over all its buckets, and the verified links give components. Buckets that
+still hold several components are dealt in small hands, several times over, and each hand is
+compared with a head of its own. What is then left apart inside a bucket is compared text by
+text, unless the distances to the bucket's head, which is a metric's triangle, already rule a
+link out. So no bucket is expanded into all its pairs, and no link between texts that share a
+bucket is lost. Only texts that share buckets without being similar to each other stay for the
+last step; their number, not the bucket's, decides its cost.
 
 Texts with the same words in the same order are one node from the start, however many copies
 there are. Similarity is exact: probability Jaccard of the whole texts, at least 0.8.
@@ -37,8 +40,8 @@ from pulsemill.llm.text import Words, mix, split_words, windows
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 SIMILAR = 0.8
-# Heads are dealt by this many orders of the texts, one for every third band.
-ORDERS = 3
+# Buckets with several components are dealt this many times, in hands of about this many texts.
+DEALS, HAND = 4, 8
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,15 +162,19 @@ def signed(documents: DataFrame) -> DataFrame:
     return map_texts(documents.select("doc_id", "text"), sign, f"doc_id {kind}, node binary, keys array<bigint>")
 
 
-def _bucket_heads(bands: DataFrame) -> DataFrame:
-    """(key, order, head) of every bucket with two texts or more; the head is the first by the band's order."""
-    ranked = F.struct(F.xxhash64("node", "order").alias("rank"), "node")
-    return (
-        bands.groupBy("key", "order")
-        .agg(F.min(ranked).alias("least"), F.max(ranked).alias("most"))
-        .where("least != most")
-        .select("key", "order", F.col("least.node").alias("head"))
-    )
+def _shared_buckets(bands: DataFrame) -> DataFrame:
+    """(key, node, head, texts) of every bucket with two texts or more.
+
+    The head is the text with the most neighbours over all its buckets: in a group of copies
+    the one that the others were made from.
+    """
+    sizes = bands.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1")
+    members = bands.join(sizes, "key")
+    met = members.groupBy("node").agg(F.sum("texts").alias("met"))
+    members = members.join(met, "node")
+    rank = F.struct("met", F.xxhash64("node").alias("tie"), "node")
+    heads = members.groupBy("key").agg(F.max(rank)["node"].alias("head"))
+    return members.join(heads, "key").select("key", "node", "head", "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -224,14 +231,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def node_classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(node, label) of every text that has a near-duplicate among different texts."""
     rows = staged(spark, signed(documents), "signed")
-    bands = (
-        rows.dropDuplicates(["node"])
-        .select("node", F.posexplode("keys").alias("band", "key"))
-        .select("node", "key", (F.col("band") % ORDERS).alias("order"))
-    )
-    shared = staged(
-        spark, bands.join(_bucket_heads(bands), ["key", "order"]).select("key", "node", "head"), "buckets"
-    )
+    signs = rows.select("node", "keys").dropDuplicates(["node"])
+    shared = staged(spark, _shared_buckets(signs.select("node", F.explode("keys").alias("key"))), "buckets")
     pairs = shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     wanted = shared.select("node").distinct()
     texts = staged(
@@ -241,35 +242,67 @@ def node_classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
     links = first.where(F.col("similarity") >= SIMILAR).select("a", "b")
     labels = components(spark, links)
 
-    rest = _apart(shared, first, labels)
-    more = staged(spark, _verified(rest, texts), "verified").where(F.col("similarity") >= SIMILAR).select("a", "b")
-    if more.isEmpty():
-        return labels
-    return components(spark, links.union(more))
+    # First by hands, which joins what can be joined with few comparisons, then whatever is left.
+    for candidates in (_dealt, lambda split: _apart(split, first, signs)):
+        split = staged(spark, _split_buckets(shared, labels), "split")
+        if split.isEmpty():
+            break
+        verified = staged(spark, _verified(candidates(split), texts), "verified")
+        more = verified.where(F.col("similarity") >= SIMILAR).select("a", "b")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(spark, links)
+    return labels
+
+
+def _split_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, head, texts, label) of the buckets whose texts are in different components."""
+    named = shared.where("texts > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most")
+    return named.join(apart.select("key"), "key", "left_semi")
+
+
+def _dealt(split: DataFrame) -> DataFrame:
+    """Pairs of different components, one for each text of a hand at most: the text and the hand's head."""
+    deals = split.withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
+    hand = F.pmod(F.xxhash64("node", "key", "deal"), F.ceil(F.col("texts") / HAND))
+    deals = deals.select("key", "deal", hand.alias("hand"), "node", "label")
+    rank = F.struct(F.xxhash64("deal", "node").alias("rank"), "node", "label")
+    heads = deals.groupBy("key", "deal", "hand").agg(F.min(rank).alias("h"))
+    heads = heads.select("key", "deal", "hand", F.col("h.node").alias("other"), F.col("h.label").alias("other_label"))
+    return (
+        deals.join(heads, ["key", "deal", "hand"])
+        .where("label != other_label")
+        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        .distinct()
+    )
 
 
-def _apart(shared: DataFrame, verified: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs in a bucket that are in different components, were not compared and may still be similar.
+def _apart(split: DataFrame, verified: DataFrame, signs: DataFrame) -> DataFrame:
+    """Pairs in a bucket that are in different components and may still be similar.
 
     1 - similarity is a metric, so a and b can only be similar if their distances to the
-    bucket's head differ by no more than a similar pair's distance.
+    bucket's head differ by no more than a similar pair's distance. Of all buckets that a pair
+    shares the one with the least key gives it.
     """
-    member = (
-        shared.join(verified.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity"), ["head", "node"])
-        .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
-    )
-    heads = labels.select(F.col("node").alias("head"), F.col("label").alias("head_label"))
-    member = member.join(heads, "head", "left").withColumn("head_label", F.coalesce("head_label", "head"))
-    outside = member.where("label != head_label").select(
-        "key", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("similarity").alias("x_near")
-    )
-    inside = member.select("key", F.col("node").alias("y"), F.col("label").alias("y_label"), F.col("similarity").alias("y_near"))
+    near = verified.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity")
+    member = split.join(near, ["head", "node"], "left").join(signs, "node")
+    # A head is as near to itself as can be.
+    member = member.withColumn("similarity", F.coalesce("similarity", F.lit(1.0)))
+    heads = split.where("node = head").select("key", F.col("label").alias("head_label"))
+    member = member.join(heads, "key")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "similarity", "keys")))
+
+    outside, every = side(member.where("label != head_label"), "x"), side(member, "y")
     slack = 1 - SIMILAR + 1e-9
+    may_meet = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_similarity") - F.col("y_similarity")) <= slack)
+    given_here = F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("x.key")
     return (
-        outside.join(inside, "key")
-        .where((F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_near") - F.col("y_near")) <= slack))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        outside.alias("x")
+        .join(every.alias("y"), (F.col("x.key") == F.col("y.key")) & may_meet & given_here)
+        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
         .distinct()
     )
 
