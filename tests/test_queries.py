@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as e
 from check_queries import compare, connect
+from pulsemill.registered.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def sql():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(e.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
     rows = e.queries()[name](spark, SF_DIR).toPandas()
     assert compare(rows, sql.sql(e.oracle_sql()[name]).df()) == "ok"
