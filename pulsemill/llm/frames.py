@@ -19,7 +19,7 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def text_column(
     function: Callable[[pa.Array, Any], pa.Array], returns: str, prepare: Callable[[], Any] | None = None
 ) -> Callable[[str], Column]:
-    """A column function over texts, applied to runs of rows of about 2 MB.
+    """A column function over texts, applied to runs of rows of about 0.5 MB.
 
     ``prepare`` is called once per task; what it returns is handed to every call of ``function``.
     """
@@ -41,7 +41,7 @@ def map_texts(
     text: str = "text",
     prepare: Callable[[], Any] | None = None,
 ) -> DataFrame:
-    """Turn rows with a text into other rows, any number of them, by runs of about 2 MB of text."""
+    """Turn rows with a text into other rows, any number of them, by runs of about 0.5 MB of text."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = prepare() if prepare else None

@@ -9,7 +9,8 @@ seeds, so no repeated edge is lost.
 A repeated edge keeps the coordinates of its first document. Edges next to each other there
 with the same number of occurrences form a nonbranching path: at a node where paths meet or
 part the numbers differ. Documents that repeat a path, or a part of it, get one span with its
-source coordinates instead of single edges. The words at the source are then digested and
+source coordinates instead of single edges; paths that follow each other in the text and in its
+source are joined. The words at the source are then digested and
 compared with the words of the span, so that a clash of hashes removes nothing.
 
 Defined results: null and empty texts have no words and lose none; texts shorter than a window
@@ -164,6 +165,20 @@ def repeated_spans(spark: SparkSession, documents: DataFrame, window: int = WIND
             )
         begin = np.flatnonzero(~same)
         length = np.diff(np.append(begin, len(rows)))
+        # Paths that follow each other in the text and in their source alike are one span.
+        rows, at, source, source_at = rows[begin], at[begin], source[begin], source_at[begin]
+        order = np.lexsort((at, source_at - at, source, rows))
+        rows, at, source, source_at, length = rows[order], at[order], source[order], source_at[order], length[order]
+        follows = np.zeros(len(rows), bool)
+        if len(rows):
+            follows[1:] = (
+                (rows[1:] == rows[:-1])
+                & (source[1:] == source[:-1])
+                & (at[1:] == at[:-1] + length[:-1])
+                & (source_at[1:] == source_at[:-1] + length[:-1])
+            )
+        begin = np.flatnonzero(~follows)
+        length = np.add.reduceat(length, begin) if len(begin) else length
         return pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"].take(pa.array(rows[begin])),

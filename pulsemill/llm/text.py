@@ -36,7 +36,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def slices(column: pa.Array, most_bytes: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most_bytes: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Cut a text column into runs of rows of about ``most_bytes``; a longer text is a run of its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
     start, held = 0, 0
