@@ -10,8 +10,8 @@ A repeated edge keeps the coordinates of its first document. Edges next to each
 with the same number of occurrences form a nonbranching path: at a node where paths meet or
 part the numbers differ. Documents that repeat a path, or a part of it, get one span with its
 source coordinates instead of single edges; paths that follow each other in the text and in its
-source are joined. The words at the source are then digested and
-compared with the words of the span, so that a clash of hashes removes nothing.
+source are joined. The words at the source are then digested and compared with the words of
+the span, so that a clash of hashes removes nothing.
 
 Defined results: null and empty texts have no words and lose none; texts shorter than a window
 lose none; rows with a null doc_id have no place in the order: they neither lose words nor are
@@ -34,7 +34,6 @@ from pulsemill.llm.text import split_words, windows
 
 WINDOW = 13
 SEED = 5
-_PLACES = 1 << 31
 
 
 def _window_seeds(hashes: np.ndarray, words, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,14 +122,13 @@ def _edges(runs: DataFrame) -> DataFrame:
 
 def repeated_paths(spark: SparkSession, runs: DataFrame) -> DataFrame:
     """(edge, source, source_at, path_at): repeated edges at their first document, and where their path begins there."""
-    # One number orders by document, then place; a plain number keeps the aggregate in its hash table.
-    first = (F.col("doc_id").cast("decimal(20,0)") * F.lit(_PLACES) + F.col("at")).cast("decimal(32,0)")
+    # Plain numbers keep the aggregate in its hash table. Any place of an edge in its first document will do.
     counted = (
         _edges(runs)
         .groupBy("edge")
-        .agg(F.min(first).alias("first"), F.max("doc_id").alias("last"), F.min("doc_id").alias("source"), F.count("*").alias("n"))
+        .agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min_by("at", "doc_id").alias("source_at"), F.count("*").alias("n"))
         .where("source < last")
-        .select("edge", "source", "n", (F.col("first") - F.col("source").cast("decimal(20,0)") * F.lit(_PLACES)).cast("int").alias("source_at"))
+        .drop("last")
     )
     along = Window.partitionBy("source").orderBy("source_at")
     fresh = (F.lag("source_at").over(along) + 1 != F.col("source_at")) | (F.lag("n").over(along) != F.col("n"))
