@@ -42,6 +42,8 @@ BANDS, ROWS = 24, 5
 SIMILAR = 0.8
 # Buckets with several components are dealt this many times, in hands of about this many texts.
 DEALS, HAND = 4, 8
+# Pairs are compared in parts of about this many, so that few copies of their texts lie on disk at a time.
+PART_PAIRS = 200_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -247,14 +249,24 @@ def node_classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
         split = staged(spark, _split_buckets(shared, labels), "split")
         if split.isEmpty():
             break
-        verified = staged(spark, _verified(candidates(split), texts), "verified")
-        more = verified.where(F.col("similarity") >= SIMILAR).select("a", "b")
+        more = _similar(spark, staged(spark, candidates(split), "pairs"), texts)
         if not more.isEmpty():
             links = links.union(more)
             labels = components(spark, links)
     return labels
 
 
+def _similar(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are similar, compared part by part; a text's pairs are in one part."""
+    parts = 1 + pairs.count() // PART_PAIRS
+    found = None
+    for part in range(parts):
+        chosen = pairs.where(F.pmod(F.xxhash64("a"), F.lit(parts)) == part)
+        verified = staged(spark, _verified(chosen, texts).where(F.col("similarity") >= SIMILAR).select("a", "b"), "similar")
+        found = verified if found is None else found.union(verified)
+    return found
+
+
 def _split_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, head, texts, label) of the buckets whose texts are in different components."""
     named = shared.where("texts > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -290,19 +302,20 @@ def _apart(split: DataFrame, verified: DataFrame, signs: DataFrame) -> DataFrame
     # A head is as near to itself as can be.
     member = member.withColumn("similarity", F.coalesce("similarity", F.lit(1.0)))
     heads = split.where("node = head").select("key", F.col("label").alias("head_label"))
-    member = member.join(heads, "key")
+    member = member.join(heads, "key").withColumn("outside", F.col("label") != F.col("head_label"))
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "similarity", "keys")))
+        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "similarity", "keys", "outside")))
 
-    outside, every = side(member.where("label != head_label"), "x"), side(member, "y")
+    outside, every = side(member.where("outside"), "x"), side(member, "y")
     slack = 1 - SIMILAR + 1e-9
     may_meet = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_similarity") - F.col("y_similarity")) <= slack)
+    once = ~F.col("y_outside") | (F.col("x_node") < F.col("y_node"))
     given_here = F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("x.key")
     return (
         outside.alias("x")
-        .join(every.alias("y"), (F.col("x.key") == F.col("y.key")) & may_meet & given_here)
-        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+        .join(every.alias("y"), (F.col("x.key") == F.col("y.key")) & may_meet & once & given_here)
+        .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
         .distinct()
     )
 
