@@ -182,6 +182,6 @@ def _hold(grid: DataFrame, every: str, series: list[str], chunk_steps: int) -> D
 
 def first_sample(df: DataFrame, n: int = 10) -> DataFrame:
     """Earliest value of the first ``n`` metrics by name, the smallest where several are earliest."""
-    starts = df.groupBy("metric").agg(F.min("ts").alias("ts")).orderBy("metric").limit(n)
-    # At most n rows, so broadcasting them is safe whatever the size of the table.
-    return df.join(F.broadcast(starts), ["metric", "ts"]).groupBy("metric", "ts").agg(F.min("value").alias("value"))
+    known = df.where(F.col("metric").isNotNull() & F.col("ts").isNotNull())
+    least = F.min(F.struct("ts", F.col("value").isNull().alias("no_value"), "value")).alias("least")
+    return known.groupBy("metric").agg(least).orderBy("metric").limit(n).select("metric", "least.ts", "least.value")

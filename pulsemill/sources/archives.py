@@ -125,7 +125,9 @@ def _expand_one(path: str, content: bytes | None) -> Iterator[pd.DataFrame]:
                 start, lines = start + len(lines), []
         if lines:
             yield _rows(path, chosen, start, lines)
-    except (tarfile.TarError, EOFError, OSError, lzma.LZMAError) as problem:
+        elif not start:
+            yield _rows(path, None, 0, [None], "no lines in report")
+    except (tarfile.TarError, EOFError, OSError, ValueError, lzma.LZMAError) as problem:
         yield _rows(path, None, 0, [None], f"{type(problem).__name__}: {problem}")
 
 

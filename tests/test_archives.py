@@ -102,3 +102,9 @@ def test_directory_of_archives(spark, folder, tmp_path):
     assert read_samples(spark, store.samples).count() == 2500
     ledger = spark.read.parquet(store.ledger)
     assert {x["status"]: x["count"] for x in ledger.groupBy("status").count().collect()} == {"processed": 1, "failed": 3}
+
+
+def test_an_empty_report_is_a_failed_archive(spark, tmp_path):
+    pack(tmp_path / "empty.tar.xz", {"a/report.csv": ""})
+    good, failed = quarantine(expand_archives(read_archives(spark, str(tmp_path))))
+    assert good.count() == 0 and [x["error"] for x in failed.collect()] == ["no lines in report"]
