@@ -7,13 +7,12 @@ probability Jaccard similarity of their weights (Ertl, ProbMinHash). A shingle s
 as its next arrival is later than the latest register of its text.
 
 Registers are banded. In each bucket all texts are compared with one head, the text that meets
-the most others over all its buckets, and the verified links give components. Buckets that
-still hold several components are dealt in small hands, several times over, and each hand is
-compared with a head of its own. What is then left apart inside a bucket is compared text by
-text, unless the distances to the bucket's head, which is a metric's triangle, already rule a
-link out. So no bucket is expanded into all its pairs, and no link between texts that share a
-bucket is lost. Only texts that share buckets without being similar to each other stay for the
-last step; their number, not the bucket's, decides its cost.
+the most others over all its buckets, and the verified links give components. The texts of
+buckets that still hold several components are dealt in small hands, several times over, and
+each hand is compared with a head of its own. Texts of such buckets that are then still apart
+are joined on their rarest shingles: two similar texts differ in so few shingles that one they
+share must be among these, and its places in both bound how many they do not share. So no
+bucket is expanded into all its pairs, and no link between texts that share a bucket is lost.
 
 Texts with the same words in the same order are one node from the start, however many copies
 there are. Similarity is exact: probability Jaccard of the whole texts, at least 0.8.
@@ -40,8 +39,8 @@ from pulsemill.llm.text import Words, mix, split_words, windows
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 SIMILAR = 0.8
-# Buckets with several components are dealt this many times, in hands of about this many texts.
-DEALS, HAND = 4, 8
+# Texts of buckets with several components are dealt this many times, in hands of about this many.
+DEALS, HAND = 8, 8
 # Pairs are compared in parts of about this many, so that few copies of their texts lie on disk at a time.
 PART_PAIRS = 200_000
 
@@ -233,8 +232,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 def node_classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """(node, label) of every text that has a near-duplicate among different texts."""
     rows = staged(spark, signed(documents), "signed")
-    signs = rows.select("node", "keys").dropDuplicates(["node"])
-    shared = staged(spark, _shared_buckets(signs.select("node", F.explode("keys").alias("key"))), "buckets")
+    signs = rows.dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
+    shared = staged(spark, _shared_buckets(signs), "buckets")
     pairs = shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     wanted = shared.select("node").distinct()
     texts = staged(
@@ -245,7 +244,10 @@ def node_classes(spark: SparkSession, documents: DataFrame) -> DataFrame:
     labels = components(spark, links)
 
     # First by hands, which joins what can be joined with few comparisons, then whatever is left.
-    for candidates in (_dealt, lambda split: _apart(split, first, signs)):
+    def left(split: DataFrame) -> DataFrame:
+        return _apart(split, staged(spark, _rare_shingles(split.select("node").distinct(), texts), "rare"))
+
+    for candidates in (_dealt, left):
         split = staged(spark, _split_buckets(shared, labels), "split")
         if split.isEmpty():
             break
@@ -275,47 +277,90 @@ def _split_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _dealt(split: DataFrame) -> DataFrame:
-    """Pairs of different components, one for each text of a hand at most: the text and the hand's head."""
-    deals = split.withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
-    hand = F.pmod(F.xxhash64("node", "key", "deal"), F.ceil(F.col("texts") / HAND))
-    deals = deals.select("key", "deal", hand.alias("hand"), "node", "label")
+    """Pairs of different components, one for each text of a hand at most: the text and the hand's head.
+
+    All texts that meet one head in any bucket are dealt together.
+    """
+    met = split.select("head", "node", "label").distinct()
+    met = met.join(met.groupBy("head").agg(F.count("*").alias("texts")), "head")
+    deals = met.withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
+    hand = F.pmod(F.xxhash64("node", "head", "deal"), F.ceil(F.col("texts") / HAND))
+    deals = deals.select("head", "deal", hand.alias("hand"), "node", "label")
     rank = F.struct(F.xxhash64("deal", "node").alias("rank"), "node", "label")
-    heads = deals.groupBy("key", "deal", "hand").agg(F.min(rank).alias("h"))
-    heads = heads.select("key", "deal", "hand", F.col("h.node").alias("other"), F.col("h.label").alias("other_label"))
+    firsts = deals.groupBy("head", "deal", "hand").agg(F.min(rank).alias("h"))
+    firsts = firsts.select("head", "deal", "hand", F.col("h.node").alias("other"), F.col("h.label").alias("other_label"))
     return (
-        deals.join(heads, ["key", "deal", "hand"])
+        deals.join(firsts, ["head", "deal", "hand"])
         .where("label != other_label")
         .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
         .distinct()
     )
 
 
-def _apart(split: DataFrame, verified: DataFrame, signs: DataFrame) -> DataFrame:
-    """Pairs in a bucket that are in different components and may still be similar.
+def _rare_shingles(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, node, place, size, slack): the rarest shingles of each text, by their order among all its shingles.
+
+    A similar text lacks no more than a share of 1 - SIMILAR of a text's weight, so the first
+    shingle, in order of rarity, that two similar texts share has at most that share before it in
+    either. ``slack`` is how much a text adds to the number of shingles that only one of two
+    similar texts may have.
+    """
+
+    def spread(batch: pa.RecordBatch, _: object) -> pa.RecordBatch:
+        rows, keys, counts = shingles(split_words(batch["text"]))
+        sizes = np.bincount(rows, minlength=len(batch))
+        totals = np.bincount(rows, counts, minlength=len(batch))
+        slack = (2 * totals - sizes) * (1 - SIMILAR) / (1 + SIMILAR)
+        columns = [
+            batch["node"].take(pa.array(rows)),
+            pa.array(keys.view(np.int64)),
+            pa.array(counts.astype(np.int64)),
+            pa.array(sizes[rows].astype(np.int64)),
+            pa.array(totals[rows]),
+            pa.array(slack[rows]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["node", "shingle", "weight", "size", "total", "slack"])
+
+    schema = "node binary, shingle bigint, weight bigint, size bigint, total double, slack double"
+    every = map_texts(texts.join(nodes, "node", "left_semi").select("node", "text"), spread, schema)
+    # A shingle without a row here is in one text.
+    common = every.groupBy("shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    by_rarity = Window.partitionBy("node").orderBy("texts", "shingle")
+    before = F.coalesce(F.sum("weight").over(by_rarity.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (
+        every.join(common, "shingle", "left")
+        .withColumn("texts", F.coalesce("texts", F.lit(1)))
+        .withColumn("place", F.row_number().over(by_rarity) - 1)
+        .withColumn("before", before)
+        .where(F.col("before") <= (1 - SIMILAR) * F.col("total") + 1e-9)
+        .where("texts > 1")
+        .select("shingle", "node", "place", "size", "slack")
+    )
+
+
+def _apart(split: DataFrame, rare: DataFrame) -> DataFrame:
+    """Pairs of texts of different components that may still be similar, from their rarest shingles.
 
-    1 - similarity is a metric, so a and b can only be similar if their distances to the
-    bucket's head differ by no more than a similar pair's distance. Of all buckets that a pair
-    shares the one with the least key gives it.
+    The similarity of two texts is at most the larger weights of their common shingles over the
+    larger weights of all, so the number of shingles that only one of them has is at most the sum
+    of their slacks. From the places of a common shingle follows the least that number can be, if
+    it is the first they share. In the text with fewer shingles to be shared, its place is not
+    beyond its own slack.
     """
-    near = verified.select(F.col("a").alias("head"), F.col("b").alias("node"), "similarity")
-    member = split.join(near, ["head", "node"], "left").join(signs, "node")
-    # A head is as near to itself as can be.
-    member = member.withColumn("similarity", F.coalesce("similarity", F.lit(1.0)))
-    heads = split.where("node = head").select("key", F.col("label").alias("head_label"))
-    member = member.join(heads, "key").withColumn("outside", F.col("label") != F.col("head_label"))
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("key", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "similarity", "keys", "outside")))
-
-    outside, every = side(member.where("outside"), "x"), side(member, "y")
-    slack = 1 - SIMILAR + 1e-9
-    may_meet = (F.col("x_label") != F.col("y_label")) & (F.abs(F.col("x_similarity") - F.col("y_similarity")) <= slack)
-    once = ~F.col("y_outside") | (F.col("x_node") < F.col("y_node"))
-    given_here = F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("x.key")
+    rows = rare.join(split.select("node", "label").distinct(), "node").withColumn("least", F.col("size") - F.col("slack"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("shingle", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "label", "place", "size", "slack", "least")))
+
+    x, y = side(rows.where(F.col("place") <= F.col("slack") + 1e-9), "x"), side(rows, "y")
+    after = F.abs((F.col("x_size") - F.col("x_place")) - (F.col("y_size") - F.col("y_place")))
+    only_one = F.col("x_place") + F.col("y_place") + after
+    smaller = F.struct("x_least", "x_node") < F.struct(F.col("y_least").alias("x_least"), F.col("y_node").alias("x_node"))
+    may_be = (F.col("x_label") != F.col("y_label")) & smaller & (only_one <= F.col("x_slack") + F.col("y_slack") + 1e-9)
     return (
-        outside.alias("x")
-        .join(every.alias("y"), (F.col("x.key") == F.col("y.key")) & may_meet & once & given_here)
-        .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))
+        x.alias("x")
+        .join(y.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & may_be)
+        .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
         .distinct()
     )
 
