@@ -279,11 +279,13 @@ def _split_buckets(shared: DataFrame, labels: DataFrame) -> DataFrame:
 def _dealt(split: DataFrame) -> DataFrame:
     """Pairs of different components, one for each text of a hand at most: the text and the hand's head.
 
-    All texts that meet one head in any bucket are dealt together.
+    In each deal a text goes with one of the heads it meets, the least by a hash of that deal, so
+    texts that meet the same heads mostly go together and pairs are as many as texts.
     """
-    met = split.select("head", "node", "label").distinct()
-    met = met.join(met.groupBy("head").agg(F.count("*").alias("texts")), "head")
-    deals = met.withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
+    deals = split.select("head", "node", "label").distinct().withColumn("deal", F.explode(F.array(*map(F.lit, range(DEALS)))))
+    least = F.min(F.struct(F.xxhash64("head", "deal").alias("rank"), "head"))["head"]
+    deals = deals.groupBy("deal", "node", "label").agg(least.alias("head"))
+    deals = deals.join(deals.groupBy("deal", "head").agg(F.count("*").alias("texts")), ["deal", "head"])
     hand = F.pmod(F.xxhash64("node", "head", "deal"), F.ceil(F.col("texts") / HAND))
     deals = deals.select("head", "deal", hand.alias("hand"), "node", "label")
     rank = F.struct(F.xxhash64("deal", "node").alias("rank"), "node", "label")

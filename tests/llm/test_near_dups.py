@@ -4,7 +4,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from cases import all_ids, documents, ids, odd_rows
+from pyspark.sql import functions as F
 
+from pulsemill.llm import near_dups
 from pulsemill.llm.near_dups import BANDS, ROWS, duplicate_classes, keep_one, shingles, signatures, similarity
 from pulsemill.llm.text import split_words
 
@@ -96,3 +98,26 @@ def test_odd_rows(spark):
     assert ids(kept) == [1, 2, 3, 4, 5, 6, 7, 8, None]
     empty = docs.limit(0)
     assert duplicate_classes(spark, empty).collect() == [] and keep_one(spark, empty).collect() == []
+
+
+def test_rare_shingles_lose_no_similar_pair(spark):
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(6):
+        base = [r.choice(vocabulary) for _ in range(r.randint(6, 90))] * r.choice([1, 1, 2, 5])
+        texts += [edited(r, base, r.randint(0, 6)) for _ in range(14)]
+    texts = [t for t in dict.fromkeys(texts) if t]
+    nodes = [near_dups.node_of(t) for t in texts]
+    table = spark.createDataFrame(list(zip(nodes, texts)), "node binary, text string")
+    split = table.select(F.lit(1).alias("key"), "node", F.col("node").alias("label"))
+    rare = near_dups._rare_shingles(table.select("node"), table)
+    found = {frozenset((bytes(p.a), bytes(p.b))) for p in near_dups._apart(split, rare).collect()}
+    similar = {
+        frozenset((nodes[i], nodes[j]))
+        for i in range(len(texts))
+        for j in range(i)
+        if nodes[i] != nodes[j] and fast_similarity(texts[i], texts[j]) >= near_dups.SIMILAR
+    }
+    assert similar and similar <= found
+    assert len(found) < len(texts) * (len(texts) - 1) // 2
