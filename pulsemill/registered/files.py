@@ -96,10 +96,9 @@ def log_tail(spark, sf):
     # Range partitioned, so a long log becomes several files that sort by name.
     text = _log_text(spark, sf).repartitionByRange("log", "event_id").sortWithinPartitions("log", "event_id")
     text.select("log", "line").write.partitionBy("log").text(path)
-    tail = inv.last_n_lines(read_parser_log(spark, path))
-    return tail.select(
-        F.regexp_replace("log", "^log=", "").alias("log"), F.col("ts").cast("timestamp_ntz").alias("ts"), "message"
-    )
+    folder = F.regexp_extract("path", "/log=([^/]*)/[^/]*$", 1)
+    tail = inv.last_n_lines(read_parser_log(spark, path, log=folder))
+    return tail.select("log", F.col("ts").cast("timestamp_ntz").alias("ts"), "message")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +43,16 @@ def read_label_csv(spark: SparkSession, path: str) -> DataFrame:
     return names.select(F.col("metric_name").alias("metric")).filter("metric IS NOT NULL")
 
 
-def read_parser_log(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Log lines; ``log`` is the folder, so that the parts of one log stay together in name order."""
+def read_parser_log(spark: SparkSession, path: str, pattern: str = "*", log: Column | None = None) -> DataFrame:
+    """Log lines; ``log`` is the whole path of the file.
+
+    Of a log written in parts, ``log`` names what its parts have in common, as an expression on
+    the column ``path``; the parts follow each other in name order.
+    """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     lines = with_line_position(reader.text(path)).withColumnRenamed("archive", "path")
-    folder = F.substring_index(F.col("path"), "/", -2)
     return lines.select(
-        F.substring_index(folder, "/", 1).alias("log"),
+        (F.col("path") if log is None else log).alias("log"),
         file_name(F.col("path")).alias("path"),
         "block_start",
         "row_id",

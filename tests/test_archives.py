@@ -2,6 +2,7 @@ import io
 import tarfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsemill.operators.inventory import newest_first, state_counts
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives
@@ -77,7 +78,12 @@ def test_inventory(spark, folder, plan_of):
 def test_parser_log(spark, tmp_path):
     (tmp_path / "svc").mkdir()
     (tmp_path / "svc" / "run.log").write_text("[2025-10-09 12:00:00] started [1]\nplain text\n[2025-13-09 12:00:00] odd\n")
-    rows = read_parser_log(spark, str(tmp_path)).orderBy("row_id").collect()
+    (tmp_path / "svc" / "web.log").write_text("other log\n")
+    logs = read_parser_log(spark, str(tmp_path))
+    names = {(x["log"].removeprefix("file:").replace("//", ""), x["path"]) for x in logs.select("log", "path").distinct().collect()}
+    assert names == {(str(tmp_path / "svc" / n), n) for n in ("run.log", "web.log")}
+    whole = read_parser_log(spark, str(tmp_path), log=F.regexp_extract("path", "([^/]*)/[^/]*$", 1))
+    rows = whole.where("path = 'run.log'").orderBy("row_id").collect()
     assert [(x["log"], x["path"]) for x in rows] == [("svc", "run.log")] * 3
     assert [x["message"] for x in rows] == ["started [1]", None, "odd"]
     assert [x["ts"] is None for x in rows] == [False, True, True]
