@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pulsemill.functions.scalars import strip
+
 
 def newest_first(inventory: DataFrame) -> DataFrame:
     return inventory.orderBy(F.col("modified").desc(), "name")
@@ -22,7 +24,7 @@ def last_n_lines(logs: DataFrame, n: int = 5, position: tuple[str, ...] = ("path
     """
     latest = Window.partitionBy("log").orderBy(*[F.col(c).desc() for c in position])
     tail = logs.withColumn("rn", F.row_number().over(latest)).filter(F.col("rn") <= n)
-    return tail.filter(F.trim("line") != "")
+    return tail.filter(strip(F.col("line")) != "")
 
 
 def run_ledger(counters: DataFrame, ingest_seq: int, failed: DataFrame | None = None) -> DataFrame:
