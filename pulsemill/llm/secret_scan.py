@@ -1,8 +1,8 @@
 """Secret scans: nested encodings are unwrapped by a worklist and every layer is scanned.
 
-The text is the first layer. Runs of it that decode as URL escapes, Unicode escapes or base64
-(plain or of a compressed stream) become further layers, and so on until no layer yields a
-new one. Layers with a content already seen are not taken up again, which ends cycles. Each
+The text is the first layer. The text with all its URL escapes decoded, the text with all its
+Unicode escapes decoded, and each run that decodes as base64 (plain or of a compressed stream)
+become further layers, and so on until no layer yields a new one. Layers with a content already seen are not taken up again, which ends cycles. Each
 layer knows which characters of the original text each of its characters came from, so a
 match in any layer maps back to a span of the original: exact for URL, Unicode and base64
 layers, the whole encoded run for compressed ones.
@@ -46,7 +46,6 @@ _ASSIGN_LENGTH, _ACCESS_LENGTH, _HEX_LENGTH = 6, 20, 24
 # Runs of hexadecimal digits that are too short never match, so they need not be tried one by one.
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 
-_RUN = re.compile(r"[^\s\"'<>]+")
 _URL_UNIT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE_UNIT = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:\d{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -111,7 +110,7 @@ def _bytes_per_char(text: str) -> np.ndarray:
 
 
 def _by_units(layer: Layer, a: int, z: int, unit: re.Pattern, decode) -> Layer | None:
-    """Decode the escapes of one run; characters between them stay as they are."""
+    """Decode the escapes between two places; characters between them stay as they are."""
     text, pieces, starts, ends, decoded, at = layer.text[a:z], [], [], [], [], 0
 
     def plain(i: int, j: int) -> None:
@@ -186,7 +185,8 @@ def _next_layers(layer: Layer, limit: int) -> tuple[list[Layer], list[tuple[str,
     found, bombs = [], []
     for unit, decode in ((_URL_UNIT, _decode_url), (_ESCAPE_UNIT, _decode_escape)):
         if unit.search(layer.text):
-            found += [_by_units(layer, m.start(), m.end(), unit, decode) for m in _RUN.finditer(layer.text)]
+            # All units at once: a key may be encoded where its value, behind blanks or quotes, is not.
+            found.append(_by_units(layer, 0, len(layer.text), unit, decode))
     for m in _BASE64_RUN.finditer(layer.text):
         # A path or a name may stand before the encoded part, joined by a letter of the alphabet.
         parts = [(m.start() + p.start(), m.start() + p.end()) for p in _BASE64_PART.finditer(m[0])]

@@ -46,6 +46,20 @@ def test_nested_layers_map_to_the_original():
         assert 9 <= a < z <= 9 + len(inner) and z - a >= len(inner) - 6
 
 
+def test_encoded_keys_of_plain_values():
+    for text in (
+        '{"\\u0070assword": "hunter2secret"}',
+        "passw%6Frd = hunter2secret",
+        'password&#61;"hunter2secret"',
+        'token%3D "abcdef123"',
+        "first %41 line\npassw%256F\\u0072d = 'hunter2secret'",
+    ):
+        spans = all_spans(text)
+        assert [s[0] for s in spans] == ["assign"], (text, spans)
+        _, a, z = spans[0]
+        assert text[z - 6 : z] in ("secret", "def123") and a == max(text.find("pass"), text.find("token"), text.find("\\u0070"))
+
+
 def test_cycles_bombs_and_plain_texts_end():
     assert all_spans("%25" * 500 + "%41") == []
     bomb = base64.b64encode(gzip.compress(b"0" * (9 << 20))).decode()
