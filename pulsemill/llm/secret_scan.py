@@ -2,15 +2,18 @@
 
 The text is the first layer. The text with all its URL escapes decoded, the text with all its
 Unicode escapes decoded, and each run that decodes as base64 (plain or of a compressed stream)
-become further layers, and so on until no layer yields a new one. Layers with a content already seen are not taken up again, which ends cycles. Each
+become further layers, as do compressed streams whose bytes stand in the text, escaped or not,
+and so on until no layer yields a new one. Layers with a content already seen are not taken up again, which ends cycles. Each
 layer knows which characters of the original text each of its characters came from, so a
 match in any layer maps back to a span of the original: exact for URL, Unicode and base64
 layers, the whole encoded run for compressed ones.
 
 Defined results: a null or empty text has no spans; a span found again in a deeper layer at the
 same place and of the same kind counts once; repeated rows get equal results; extra columns
-pass through ``mask_secrets`` untouched. A compressed run may unpack to at most
-``MOST_UNPACKED`` bytes; one that would exceed it is reported as a span of kind ``bomb``.
+pass through ``mask_secrets`` untouched. Streams are unpacked as long as what they hold is a
+stream again, all members of each. One that unpacks to more than ``MOST_UNPACKED`` bytes is
+reported as a span of kind ``bomb`` and scanned in overlapping pieces; an encoded run in it that
+is longer than the overlap and crosses a piece's border is decoded in parts only.
 """
 
 from __future__ import annotations
@@ -20,9 +23,11 @@ import binascii
 import bz2
 import hashlib
 import html
+import itertools
 import lzma
 import re
 import zlib
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,10 +38,16 @@ from pyspark.sql import DataFrame
 from pulsemill.llm.frames import struct_array, text_column
 from pulsemill.llm.text import raw_bytes
 
+# The content held at once; longer streams are scanned in pieces that share 1/OVERLAP of their length.
 MOST_UNPACKED = 8 << 20
+OVERLAP = 8
+# How many streams directly inside one another are followed above that size, which ends streams that hold a larger copy
+# of themselves. Below it there is no such limit.
+MOST_NESTED = 16
+_STEP, _CHUNK, _HEAD = 1 << 20, 1 << 10, 64
 
 # The kinds in their order, and the patterns of the base scan.
-KINDS = ("assign", "access", "hex", "bomb")
+KINDS = ("bomb", "assign", "access", "hex")
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
@@ -51,6 +62,12 @@ _ESCAPE_UNIT = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 _SHORTEST_BASE64 = 16
+# How gzip, zlib, bzip2, xz and zstandard members begin; the same as characters of one byte each.
+_STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
+_STREAM_TEXT = re.compile("\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\\x28\xb5/\xfd")
+_NO_BYTE = re.compile("[^\x00-\xff]")
+_BYTE_UNIT = re.compile(r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[0-7]{1,3}|\\[abfnrtv\\'"/]|&#(?:\d{1,3}|[xX][0-9A-Fa-f]{1,2});""")
+_C_ESCAPES = {"a": "\a", "b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
 
 
 @dataclass(frozen=True)
@@ -71,29 +88,123 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-class Bomb(ValueError):
-    """A compressed run that unpacks to more than the limit."""
+@dataclass(frozen=True)
+class Content:
+    """Bytes that are yet to be unpacked or read as text; for each where its source starts and ends in the original."""
 
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
 
-def _inflate(data: bytes, limit: int) -> bytes | None:
-    """The content of a gzip, zlib, bzip2, xz or zstandard stream, or None."""
-    try:
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0):
-            stream = zlib.decompressobj(47)
-            out = stream.decompress(data, limit + 1)
-        elif data[:3] == b"BZh":
-            out = bz2.BZ2Decompressor().decompress(data, limit + 1)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            out = lzma.LZMADecompressor().decompress(data, limit + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(limit + 1)
+
+class _Member:
+    """One gzip, zlib, bzip2, xz or zstandard member: gives its content in steps, then says what it left over."""
+
+    def __init__(self, head: bytes) -> None:
+        self.zlib = self.zstd = self.ended = False
+        self.left = b""
+        if head[:3] == b"\x1f\x8b\x08":
+            self.zlib, self.inner = True, zlib.decompressobj(31)
+        elif head[:3] == b"BZh":
+            self.inner = bz2.BZ2Decompressor()
+        elif head[:6] == b"\xfd7zXZ\x00":
+            self.inner = lzma.LZMADecompressor()
+        elif head[:4] == b"\x28\xb5\x2f\xfd":
+            self.zstd, self.inner = True, zstandard.ZstdDecompressor().decompressobj()
         else:
-            return None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    if len(out) > limit:
-        raise Bomb
-    return out
+            self.zlib, self.inner = True, zlib.decompressobj(15)
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        inner = self.inner
+        # A step of zstandard has no limit of its own, so its input goes in small steps.
+        for i in range(0, len(data), 256) if self.zstd else [0]:
+            part = data[i : i + 256] if self.zstd else data
+            while True:
+                out = inner.decompress(part) if self.zstd else inner.decompress(part, _STEP)
+                if out:
+                    yield out
+                if inner.eof:
+                    self.ended, self.left = True, inner.unused_data + (data[i + 256 :] if self.zstd else b"")
+                    return
+                part = inner.unconsumed_tail if self.zlib else b""
+                if self.zstd or (not part and (len(out) < _STEP if self.zlib else inner.needs_input)):
+                    break
+
+
+def _is_stream(head: bytes) -> bool:
+    return _STREAM.match(head) is not None
+
+
+class _Unpacked:
+    """The content of a stream that comes in chunks, all its members joined. Bytes that are no member come as they are
+    if ``rest`` is set. ``used`` counts the bytes of the members."""
+
+    def __init__(self, chunks: Iterable[bytes], rest: bool) -> None:
+        self.chunks, self.rest, self.used = iter(chunks), rest, 0
+
+    def __iter__(self) -> Iterator[bytes]:
+        data = b""
+        while True:
+            while len(data) < 6 and (more := next(self.chunks, None)) is not None:
+                data += more
+            if not _is_stream(data):
+                break
+            member = _Member(data)
+            try:
+                while data:
+                    yield from member.feed(data)
+                    self.used += len(data) - len(member.left)
+                    data = member.left if member.ended else next(self.chunks, b"")
+                    if member.ended:
+                        break
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
+                break
+        if self.rest:
+            if data:
+                yield data
+            yield from self.chunks
+
+
+def _chunks(data: bytes) -> Iterator[bytes]:
+    return (data[i : i + _CHUNK] for i in range(0, len(data), _CHUNK))
+
+
+def _overlapping(parts: Iterable[bytes], limit: int) -> Iterator[bytes]:
+    """A long stream in pieces of at most ``limit`` bytes, each with the end of the one before."""
+    held = bytearray()
+    for part in parts:
+        held += part
+        while len(held) > limit:
+            yield bytes(held[:limit])
+            del held[: limit - limit // OVERLAP]
+    yield bytes(held)
+
+
+def _unpack(unpacked: _Unpacked, limit: int) -> tuple[bytes, Iterator[bytes] | None]:
+    """The content of a stream if it is at most ``limit`` bytes long, or its beginning and pieces of the whole."""
+    parts, first = iter(unpacked), bytearray()
+    for part in parts:
+        first += part
+        if len(first) > limit:
+            break
+    else:
+        return bytes(first), None
+    content: Iterator[bytes] = itertools.chain([bytes(first)], parts)
+    head = bytes(first[:_HEAD])
+    for _ in range(MOST_NESTED):
+        if not _is_stream(head):
+            break
+        # What is no stream after all, or unpacks to itself, begins with the same bytes again.
+        content, before = iter(_Unpacked(content, True)), head
+        start = bytearray()
+        for part in content:
+            start += part
+            if len(start) >= _HEAD:
+                break
+        head, content = bytes(start[:_HEAD]), itertools.chain([bytes(start)], content)
+        if head == before:
+            break
+    return bytes(first), _overlapping(content, limit)
 
 
 def _readable(data: bytes) -> str | None:
@@ -160,7 +271,7 @@ def _decode_escape(unit: str) -> tuple[str, np.ndarray] | None:
     return (chr(code), np.array([len(unit)])) if code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else None
 
 
-def _decode_base64(layer: Layer, a: int, z: int, limit: int) -> Layer | None:
+def _decode_base64(layer: Layer, a: int, z: int) -> Content | None:
     run = layer.text[a:z].rstrip("=")
     if len(run) % 4 == 1:
         return None
@@ -168,21 +279,63 @@ def _decode_base64(layer: Layer, a: int, z: int, limit: int) -> Layer | None:
         data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
-    unpacked = _inflate(data, limit)
-    text = _readable(data if unpacked is None else unpacked)
+    # Byte i of the content lies in the characters from 8i/6 on to (8i + 7)/6.
+    bits = np.arange(len(data)) * 8
+    return Content(data, layer.starts[a + bits // 6], layer.ends[a + np.minimum((bits + 7) // 6, len(run) - 1)])
+
+
+def _as_text(content: Content) -> Layer | None:
+    text = _readable(content.data)
     if text is None:
         return None
-    if unpacked is not None:
-        n = len(text)
-        return Layer(text, np.full(n, layer.starts[a]), np.full(n, layer.ends[z - 1]), np.ones(n, bool))
+    n = len(text)
+    if n == len(content.data):
+        return Layer(text, content.starts, content.ends, np.ones(n, bool))
     steps = np.concatenate([[0], np.cumsum(_bytes_per_char(text))])
-    # Byte i of the content lies in the characters from 8i/6 on to (8i + 7)/6.
-    first, last = steps[:-1] * 8 // 6, np.minimum((steps[1:] * 8 - 1) // 6, len(run) - 1)
-    return Layer(text, layer.starts[a + first], layer.ends[a + last], np.ones(len(text), bool))
+    return Layer(text, content.starts[steps[:-1]], content.ends[steps[1:] - 1], np.ones(n, bool))
 
 
-def _next_layers(layer: Layer, limit: int) -> tuple[list[Layer], list[tuple[str, int, int]]]:
-    found, bombs = [], []
+def _latin_url(unit: str) -> str:
+    return bytes.fromhex(unit.replace("%", "")).decode("latin-1")
+
+
+def _latin_escape(unit: str) -> str:
+    if unit.startswith("&"):
+        code = int(unit[3:-1], 16) if unit[2] in "xX" else int(unit[2:-1])
+        return chr(code)
+    if unit[1] in "xu":
+        return chr(int(unit[2:], 16))
+    return chr(int(unit[1:], 8) & 255) if unit[1] in "01234567" else _C_ESCAPES.get(unit[1], unit[1])
+
+
+def _byte_streams(layer: Layer, limit: int) -> Iterator[tuple[int, Layer, bytes, Iterator[bytes] | None, _Unpacked]]:
+    """Compressed streams that stand in a text as bytes, escaped or not: place, the text unescaped, content, pieces if long."""
+    forms = [layer]
+    for unit, latin, width in ((_URL_UNIT, _latin_url, 3), (_BYTE_UNIT, _latin_escape, 0)):
+        if unit.search(layer.text) and _STREAM_TEXT.search(unit.sub(lambda m, f=latin: f(m[0]), layer.text)):
+
+            def decode(x: str, f=latin, width=width) -> tuple[str, np.ndarray]:
+                text = f(x)
+                return text, np.full(len(text), width or len(x))
+
+            forms.append(_by_units(layer, 0, len(layer.text), unit, decode))
+    for form in forms:
+        at = 0
+        while m := _STREAM_TEXT.search(form.text, at):
+            a = m.start()
+            last = _NO_BYTE.search(form.text, a)
+            z = last.start() if last else len(form.text)
+            chunks = (form.text[i : min(i + _CHUNK, z)].encode("latin-1") for i in range(a, z, _CHUNK))
+            unpacked = _Unpacked(chunks, False)
+            first, pieces = _unpack(unpacked, limit)
+            if first:
+                # How far a long stream goes is known when its pieces have been read.
+                yield a, form, first, pieces, unpacked
+            at = a + max(unpacked.used, 1)
+
+
+def _next_layers(layer: Layer) -> list[Layer | Content]:
+    found: list[Layer | Content | None] = []
     for unit, decode in ((_URL_UNIT, _decode_url), (_ESCAPE_UNIT, _decode_escape)):
         if unit.search(layer.text):
             # All units at once: a key may be encoded where its value, behind blanks or quotes, is not.
@@ -191,35 +344,65 @@ def _next_layers(layer: Layer, limit: int) -> tuple[list[Layer], list[tuple[str,
         # A path or a name may stand before the encoded part, joined by a letter of the alphabet.
         parts = [(m.start() + p.start(), m.start() + p.end()) for p in _BASE64_PART.finditer(m[0])]
         for a, z in dict.fromkeys([m.span(), *parts]):
-            try:
-                decoded = _decode_base64(layer, a, z, limit)
-            except Bomb:
-                bombs.append(("bomb", int(layer.starts[a]), int(layer.ends[z - 1])))
+            content = _decode_base64(layer, a, z)
+            found.append(content)
+            if content is not None and (a, z) == m.span() and (_is_stream(content.data) or _readable(content.data)):
                 break
-            found.append(decoded)
-            if decoded is not None and (a, z) == m.span():
-                break
-    return [x for x in found if x is not None], bombs
+    return [x for x in found if x is not None]
+
+
+def _coarse(data: bytes, start: int, end: int) -> Content:
+    """Content of a compressed run: each byte comes from the whole run."""
+    return Content(data, np.broadcast_to(np.int64(start), len(data)), np.broadcast_to(np.int64(end), len(data)))
+
+
+def _scan_layers(work: list[Layer | Content], limit: int, spans: set[tuple[str, int, int]]) -> None:
+    """Add the spans of layers and of all that they hold."""
+    seen: set[tuple[bytes, int]] = set()
+
+    def scan_pieces(pieces: Iterable[bytes], start: int, end: Callable[[], int]) -> None:
+        kinds: set[tuple[str, int, int]] = set()
+        for piece in pieces:
+            _scan_layers([_coarse(piece, 0, 1)], limit, kinds)
+        spans.update((kind, start, end()) for kind in {"bomb"} | {k for k, _, _ in kinds})
+
+    while work:
+        item = work.pop()
+        # The same content at the same place is the same layer, whichever way it was reached.
+        raw = item.data if isinstance(item, Content) else item.text.encode("utf-8", "surrogatepass")
+        key = (hashlib.blake2b(raw, person=type(item).__name__.encode()).digest(), int(item.starts[0]) if len(raw) else -1)
+        if key in seen:
+            continue
+        seen.add(key)
+        if isinstance(item, Content):
+            if _is_stream(item.data):
+                start, end = int(item.starts.min()), int(item.ends.max())
+                first, pieces = _unpack(_Unpacked(_chunks(item.data), True), limit)
+                if pieces is None:
+                    work.append(_coarse(first, start, end))
+                else:
+                    scan_pieces(pieces, start, lambda end=end: end)
+            text = _as_text(item)
+            if text is not None:
+                work.append(text)
+            continue
+        for kind, a, z in base_spans(item.text):
+            if item.decoded[a:z].any():
+                spans.add((kind, int(item.starts[a:z].min()), int(item.ends[a:z].max())))
+        work += _next_layers(item)
+        for a, form, first, pieces, unpacked in _byte_streams(item, limit):
+            start = int(form.starts[a])
+            if pieces is None:
+                work.append(_coarse(first, start, int(form.ends[a + unpacked.used - 1])))
+            else:
+                scan_pieces(pieces, start, lambda a=a, f=form, u=unpacked: int(f.ends[a + u.used - 1]))
 
 
 def all_spans(text: str, limit: int = MOST_UNPACKED) -> list[tuple[str, int, int]]:
     """Base spans and those of all nested layers, in order of start, kind and end."""
     place = np.arange(len(text), dtype=np.int64)
-    work = [Layer(text, place, place + 1, np.zeros(len(text), bool))]
-    spans, seen = set(base_spans(text)), set()
-    while work:
-        layers, bombs = _next_layers(work.pop(), limit)
-        spans.update(bombs)
-        for layer in layers:
-            # The same content at the same place is the same layer, whichever way it was reached.
-            key = (layer.text, int(layer.starts[0]) if layer.text else -1)
-            if key in seen:
-                continue
-            seen.add(key)
-            for kind, a, z in base_spans(layer.text):
-                if layer.decoded[a:z].any():
-                    spans.add((kind, int(layer.starts[a:z].min()), int(layer.ends[a:z].max())))
-            work.append(layer)
+    spans = set(base_spans(text))
+    _scan_layers([Layer(text, place, place + 1, np.zeros(len(text), bool))], limit, spans)
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -1,9 +1,13 @@
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import re
+import zlib
 from urllib.parse import quote
 
+import zstandard
 from cases import all_ids, documents, ids, odd_rows
 
 from pulsemill.llm.secret_scan import all_spans, base_spans, mask_secrets, scan_secrets
@@ -60,6 +64,38 @@ def test_encoded_keys_of_plain_values():
         assert text[z - 6 : z] in ("secret", "def123") and a == max(text.find("pass"), text.find("token"), text.find("\\u0070"))
 
 
+def test_streams_in_streams_and_all_members():
+    packers = (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress)
+    secret = f"a line\n{SECRET}\n".encode()
+    contents = [outer(inner(secret)) for outer in packers for inner in packers]
+    contents += [pack(b"first member, no more") + pack(secret) for pack in packers]
+    contents += [gzip.compress(secret[:12]) + zlib.compress(secret[12:]), gzip.compress(gzip.compress(gzip.compress(secret)))]
+    for content in contents:
+        text = f"before {base64.b64encode(content).decode()} after"
+        assert [s[0] for s in all_spans(text)] == ["assign"], content
+    for content in (gzip.compress(secret), gzip.compress(zlib.compress(secret)), bz2.compress(secret), lzma.compress(secret)):
+        for text in (
+            quote(content, safe=""),
+            "".join(f"\\x{b:02x}" for b in content),
+            "".join(f"\\u{b:04x}" for b in content),
+            repr(content),
+            "".join(f"&#{b};" for b in content),
+        ):
+            spans = all_spans(f"before {text} after")
+            # xz keeps a short text as it is, so its place is found as well.
+            assert {s[0] for s in spans} == {"assign"} and all(7 <= a < z <= 7 + len(text) for _, a, z in spans), text
+
+
+def test_long_streams_are_scanned_in_pieces():
+    r = random.Random(3)
+    for at in (0, 30_000, 65_536 - 10, 150_000, 299_000):
+        lines = bytearray(b"".join(b"line %d of a log\n" % r.randrange(10**6) for _ in range(20_000)))
+        lines[at:at] = f"\n{SECRET}\n".encode()
+        for content in (gzip.compress(lines), gzip.compress(bz2.compress(lines)), zstandard.compress(lines)):
+            text = base64.b64encode(content).decode()
+            assert {s[0] for s in all_spans(text, limit=1 << 16)} == {"bomb", "assign"}, at
+
+
 def test_cycles_bombs_and_plain_texts_end():
     assert all_spans("%25" * 500 + "%41") == []
     bomb = base64.b64encode(gzip.compress(b"0" * (9 << 20))).decode()
