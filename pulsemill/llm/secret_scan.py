@@ -1,9 +1,10 @@
 """Secret scans: nested encodings are unwrapped by a worklist and every layer is scanned.
 
 The text is the first layer. The text with all its URL escapes decoded, the text with all its
-Unicode escapes decoded, and each run that decodes as base64 (plain or of a compressed stream)
-become further layers, as do compressed streams whose bytes stand in the text, escaped or not,
-and so on until no layer yields a new one. Layers with a content already seen are not taken up again, which ends cycles. Each
+Unicode escapes decoded, and each run that decodes as base64 (plain or of a compressed stream;
+on one line or wrapped) become further layers, as do compressed streams whose bytes stand in the text, escaped or not,
+and so on until no layer yields a new one. Bytes that are not UTF-8 are read as Latin-1, with
+zero bytes also as UTF-16. Layers with a content already seen are not taken up again, which ends cycles. Each
 layer knows which characters of the original text each of its characters came from, so a
 match in any layer maps back to a span of the original: exact for URL, Unicode and base64
 layers, the whole encoded run for compressed ones.
@@ -27,7 +28,7 @@ import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,6 +63,17 @@ _ESCAPE_UNIT = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0
 _BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 _SHORTEST_BASE64 = 16
+# Neighbouring lines of base64 letters and nothing else, also with line ends written as \\n; the first may start in a line.
+_WRAPPED = re.compile(
+    r"(?:(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nrt])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{16,}+"
+    r"(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*(?!--)[A-Za-z0-9+/_-]++(?![ \t]*[^\s\\\"'<>),;=]))+"
+)
+_WRAPPED_LINE = re.compile(r"(?:(?<=\\n)|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]+")
+# What a span or a further layer needs at least.
+_SIGN = re.compile(
+    rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{16}|%[0-9A-Fa-f]{2}|\\[xu0-7abfnrtv]|&#"
+    rb"|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
+)
 # How gzip, zlib, bzip2, xz and zstandard members begin; the same as characters of one byte each.
 _STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd", re.DOTALL)
 _STREAM_TEXT = re.compile("\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\\x28\xb5/\xfd")
@@ -271,28 +283,76 @@ def _decode_escape(unit: str) -> tuple[str, np.ndarray] | None:
     return (chr(code), np.array([len(unit)])) if code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else None
 
 
-def _decode_base64(layer: Layer, a: int, z: int) -> Content | None:
-    run = layer.text[a:z].rstrip("=")
+def _worth(data: bytes) -> bool:
+    """Whether bytes can give a span or a further layer, read as text of one or two bytes a character."""
+    return _SIGN.search(data) is not None or (b"\0" in data and _SIGN.search(data.replace(b"\0", b"")) is not None)
+
+
+def _decode_base64(layer: Layer, lines: Sequence[tuple[int, int]]) -> Content | None:
+    run = "".join(layer.text[a:z] for a, z in lines).rstrip("=")
     if len(run) % 4 == 1:
-        return None
+        run = run[:-1]
     try:
         data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
+    if not _worth(data):
+        return None
+    places = np.concatenate([np.arange(a, z) for a, z in lines])
     # Byte i of the content lies in the characters from 8i/6 on to (8i + 7)/6.
     bits = np.arange(len(data)) * 8
-    return Content(data, layer.starts[a + bits // 6], layer.ends[a + np.minimum((bits + 7) // 6, len(run) - 1)])
+    return Content(data, layer.starts[places[bits // 6]], layer.ends[places[np.minimum((bits + 7) // 6, len(run) - 1)]])
 
 
-def _as_text(content: Content) -> Layer | None:
-    text = _readable(content.data)
-    if text is None:
-        return None
+def _whole(data: bytes, limit: int) -> bool:
+    """Whether content is readable text, or streams from end to end: decoded as it was meant."""
+    if not _is_stream(data):
+        return _readable(data) is not None
+    unpacked = _Unpacked(_chunks(data), False)
+    return _unpack(unpacked, limit)[1] is not None or unpacked.used == len(data)
+
+
+def _as_texts(content: Content) -> list[Layer]:
+    """The content as UTF-8, or else as Latin-1; with zero bytes also as UTF-16 of either order, from either byte on."""
+    data = content.data
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        text = data.decode("latin-1")
     n = len(text)
-    if n == len(content.data):
-        return Layer(text, content.starts, content.ends, np.ones(n, bool))
-    steps = np.concatenate([[0], np.cumsum(_bytes_per_char(text))])
-    return Layer(text, content.starts[steps[:-1]], content.ends[steps[1:] - 1], np.ones(n, bool))
+    if n == len(data):
+        out = [Layer(text, content.starts, content.ends, np.ones(n, bool))]
+    else:
+        steps = np.concatenate([[0], np.cumsum(_bytes_per_char(text))])
+        out = [Layer(text, content.starts[steps[:-1]], content.ends[steps[1:] - 1], np.ones(n, bool))]
+    if b"\0" in data and _worth(data):
+        for first in (0, 1):
+            n = (len(data) - first) // 2
+            for order in ("<u2", ">u2"):
+                units = np.frombuffer(data, order, n, first)
+                # One character a unit, whatever the unit; the patterns are ASCII.
+                text = units.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+                starts, ends = content.starts[first : first + 2 * n : 2], content.ends[first + 1 : first + 2 * n : 2]
+                out.append(Layer(text, starts, ends, np.ones(n, bool)))
+    return [x for x in out if x.text]
+
+
+def _wrapped_runs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Base64 over neighbouring lines: all of them, all but the first, and those of one width with the shorter one after."""
+    for m in _WRAPPED.finditer(text):
+        lines = [(m.start() + x.start(), m.start() + x.end()) for x in _WRAPPED_LINE.finditer(m[0])]
+        widths = [z - a for a, z in lines]
+        groups, i = [(0, len(lines)), (1, len(lines))], 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and widths[j] == widths[i]:
+                j += 1
+            after = j < len(lines) and widths[j] < widths[i]
+            groups.append((i, j + after))
+            i = j
+        for i, j in dict.fromkeys(groups):
+            if j - i > 1:
+                yield lines[i:j]
 
 
 def _latin_url(unit: str) -> str:
@@ -334,19 +394,28 @@ def _byte_streams(layer: Layer, limit: int) -> Iterator[tuple[int, Layer, bytes,
             at = a + max(unpacked.used, 1)
 
 
-def _next_layers(layer: Layer) -> list[Layer | Content]:
+def _next_layers(layer: Layer, limit: int) -> list[Layer | Content]:
     found: list[Layer | Content | None] = []
     for unit, decode in ((_URL_UNIT, _decode_url), (_ESCAPE_UNIT, _decode_escape)):
         if unit.search(layer.text):
             # All units at once: a key may be encoded where its value, behind blanks or quotes, is not.
             found.append(_by_units(layer, 0, len(layer.text), unit, decode))
+    covered = np.zeros(len(layer.text), bool)
+    for lines in _wrapped_runs(layer.text) if "\n" in layer.text or "\\n" in layer.text else ():
+        content = _decode_base64(layer, lines)
+        found.append(content)
+        if content is not None and _whole(content.data, limit):
+            for a, z in lines:
+                covered[a:z] = True
     for m in _BASE64_RUN.finditer(layer.text):
+        if covered[m.start() : m.end()].any() and covered[m.start() : m.start() + len(m[0].rstrip("="))].all():
+            continue
         # A path or a name may stand before the encoded part, joined by a letter of the alphabet.
         parts = [(m.start() + p.start(), m.start() + p.end()) for p in _BASE64_PART.finditer(m[0])]
         for a, z in dict.fromkeys([m.span(), *parts]):
-            content = _decode_base64(layer, a, z)
+            content = _decode_base64(layer, [(a, z)])
             found.append(content)
-            if content is not None and (a, z) == m.span() and (_is_stream(content.data) or _readable(content.data)):
+            if content is not None and (a, z) == m.span() and _whole(content.data, limit):
                 break
     return [x for x in found if x is not None]
 
@@ -377,19 +446,20 @@ def _scan_layers(work: list[Layer | Content], limit: int, spans: set[tuple[str,
         if isinstance(item, Content):
             if _is_stream(item.data):
                 start, end = int(item.starts.min()), int(item.ends.max())
-                first, pieces = _unpack(_Unpacked(_chunks(item.data), True), limit)
+                unpacked = _Unpacked(_chunks(item.data), True)
+                first, pieces = _unpack(unpacked, limit)
                 if pieces is None:
                     work.append(_coarse(first, start, end))
                 else:
                     scan_pieces(pieces, start, lambda end=end: end)
-            text = _as_text(item)
-            if text is not None:
-                work.append(text)
+                if unpacked.used == len(item.data):
+                    continue
+            work += _as_texts(item)
             continue
         for kind, a, z in base_spans(item.text):
             if item.decoded[a:z].any():
                 spans.add((kind, int(item.starts[a:z].min()), int(item.ends[a:z].max())))
-        work += _next_layers(item)
+        work += _next_layers(item, limit)
         for a, form, first, pieces, unpacked in _byte_streams(item, limit):
             start = int(form.starts[a])
             if pieces is None:

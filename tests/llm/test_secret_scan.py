@@ -96,6 +96,38 @@ def test_long_streams_are_scanned_in_pieces():
             assert {s[0] for s in all_spans(text, limit=1 << 16)} == {"bomb", "assign"}, at
 
 
+def test_wrapped_base64():
+    r = random.Random(4)
+    for width in (64, 76):
+        for before in (0, 20, 40, 50, 54, 57, 100):
+            plain = f"{'x ' * before} {SECRET} {'and more text ' * 12}".encode()
+            noise = " ".join(f"w{r.randrange(10**9)}" for _ in range(40)).encode()
+            for content in (plain, gzip.compress(noise + plain + noise)):
+                encoded = base64.b64encode(content).decode()
+                for end in ("\n", "\r\n", "\n  ", "\\n"):
+                    run = end.join(encoded[i : i + width] for i in range(0, len(encoded), width))
+                    for text in (f"some text\n{run}\nmore text", f"key: {run}", f'{{"key": "--BEGIN KEY--\\n{run}"}}'):
+                        spans = all_spans(text)
+                        assert [s[0] for s in spans] == ["assign"], (text, spans)
+                        _, a, z = spans[0]
+                        start = text.index(run)
+                        if content is plain:
+                            assert SECRET.encode() in base64.b64decode(re.sub(r"\s|\\n", "", run))
+                            assert start <= a < z <= start + len(run) and 26 <= z - a <= 36, (a, z)
+                        else:
+                            assert (a, z) in ((start, start + len(run)), (start, start + len(run.rstrip("=")))), (a, z)
+
+
+def test_content_that_is_not_utf_8():
+    binary = bytes(range(256)) + SECRET.encode() + bytes(range(255, -1, -1))
+    controls = b"\x00\x01\x02" * 20 + SECRET.encode() + b"\x00" * 20
+    for content in (binary, controls, *(f"ключ {SECRET} конец".encode(x) for x in ("utf-16", "utf-16-le", "utf-16-be", "cp1251"))):
+        for packed in (content, gzip.compress(content)):
+            spans = all_spans(f"before {base64.b64encode(packed).decode()} after")
+            assert "assign" in {s[0] for s in spans}, content
+            assert all(7 <= a < z for _, a, z in spans)
+
+
 def test_cycles_bombs_and_plain_texts_end():
     assert all_spans("%25" * 500 + "%41") == []
     bomb = base64.b64encode(gzip.compress(b"0" * (9 << 20))).decode()
