@@ -1,38 +1,35 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased (ASCII) and freed of punctuation. Every n-gram of a test item is looked
-up in all documents and counted by document. An item's seeds are its n-grams that are rare in
-the corpus, and in each run of ``RUN`` neighbouring n-grams the rarest one, however common: a
-passage that shares ``N + RUN - 1`` words in a row with an item always holds a seed, even if
-most of the corpus holds that passage. Seeds give (document, item, place) candidates, and the
-item is aligned with the stretch of the document around each group of places. The score is
-the alignment's share of the item's score against itself, so edited copies are found too.
+up in all documents, and each place where one stands is a seed, however common the n-gram: what
+is found for a document does not depend on the others. An item of fewer than ``N`` words is one
+n-gram as a whole. Seeds give (document, item, place) candidates, and the item is aligned with the
+stretch of the document around each group of places, unless that stretch has too few of the item's
+words to reach the score. The score is the alignment's share of the item's score against itself,
+so edited copies are found too.
 
 The benchmark travels to the tasks as a table of n-gram hashes; it is cut in parts of at most
 ``PART_HASHES``, and the documents are read once for each part.
 
-Defined results: null and empty texts, and items of fewer than ``N`` words, match nothing but
-for an item whose words all stand in one run of the document; repeated items and documents
+Defined results: null and empty texts match nothing; an item of fewer than ``N`` words matches
+documents that hold all of them in one run; repeated items and documents
 give their rows again; empty tables give empty results; extra columns pass through
 ``drop_leaks`` untouched.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.llm.frames import free_name, map_texts, staged
 from pulsemill.llm.text import Words, mix, split_words, windows
 
 N = 4
-RUN = 4
-# An n-gram is rare if at most this share of all documents, or this many, have it.
-RARE_SHARE, RARE_ROWS = 1e-4, 10
 PART_HASHES = 4_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
@@ -53,7 +50,7 @@ def plain_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grams(hashes: np.ndarray, owner: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every n-gram and the index of its first word. A text of fewer words has one, of them all."""
+    """The hash of every n-gram and the index of its first word. A text of fewer words has none."""
     out, at = np.empty(0, np.uint64), np.empty(0, np.int64)
     if len(hashes) >= n:
         count = len(hashes) - n + 1
@@ -66,12 +63,17 @@ def _grams(hashes: np.ndarray, owner: np.ndarray, n: int = N) -> tuple[np.ndarra
 
 
 def item_grams(benchmark: DataFrame) -> DataFrame:
-    """(item_id, words, gram, place): every n-gram of every item, with the item's word hashes."""
+    """(item_id, words, gram, place): every n-gram of every item, or a shorter item as a whole, with the item's word hashes."""
 
     def cut(batch: pa.RecordBatch, _: object) -> pa.RecordBatch:
         hashes, owner = plain_words(split_words(batch["text"]))
         first = np.searchsorted(owner, np.arange(len(batch) + 1))
-        grams, at = _grams(hashes, owner)
+        found = [_grams(hashes, owner)]
+        for n in range(1, N):
+            short, begin = _grams(hashes, owner, n)
+            whole = np.diff(first)[owner[begin]] == n
+            found.append((short[whole], begin[whole]))
+        grams, at = (np.concatenate(x) for x in zip(*found, strict=True))
         rows = owner[at]
         words = pa.ListArray.from_arrays(first.astype(np.int32), hashes.view(np.int64))
         return pa.RecordBatch.from_arrays(
@@ -93,13 +95,13 @@ def _parts(grams: DataFrame) -> Iterator[np.ndarray]:
         yield np.sort(np.array([r["gram"] for r in chosen.collect()], np.int64))
 
 
-def _hits(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(doc_id, mark, gram, at): where the documents have the wanted n-grams; mark tells texts of one id apart."""
+def _hits(documents: DataFrame, wanted: np.ndarray, sizes: Sequence[int]) -> DataFrame:
+    """(doc_id, mark, gram, at): where the documents have the wanted n-grams of some sizes; mark tells texts of one id apart."""
 
     def find(batch: pa.RecordBatch, _: object) -> pa.RecordBatch:
         hashes, owner = plain_words(split_words(batch["text"]))
         first = np.searchsorted(owner, np.arange(len(batch) + 1))
-        grams, at = _grams(hashes, owner)
+        grams, at = (np.concatenate(x) for x in zip(*(_grams(hashes, owner, n) for n in sizes), strict=True))
         grams = grams.view(np.int64)
         if len(wanted):
             found = wanted[np.minimum(np.searchsorted(wanted, grams), len(wanted) - 1)] == grams
@@ -117,18 +119,6 @@ def _hits(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
     return map_texts(marked, find, f"doc_id {kind}, mark bigint, gram bigint, at bigint")
 
 
-def seeds(grams: DataFrame, hits: DataFrame, documents: int) -> DataFrame:
-    """(item_id, gram, place) of the n-grams that are rare, or the rarest of a run of neighbours."""
-    counted = hits.select("gram", "doc_id", "mark").distinct().groupBy("gram").agg(F.count("*").alias("texts"))
-    # An item's n-grams are as many as its words.
-    run = Window.partitionBy("item_id", "words").orderBy("place").rangeBetween(0, RUN - 1)
-    back = Window.partitionBy("item_id", "words").orderBy("place").rangeBetween(-(RUN - 1), 0)
-    ranked = grams.join(counted, "gram", "left").withColumn("rank", F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "place"))
-    ranked = ranked.withColumn("least", F.min("rank").over(run)).withColumn("chosen", F.collect_set("least").over(back))
-    rare = F.col("texts") <= max(RARE_ROWS, RARE_SHARE * documents)
-    return ranked.where(F.col("texts") > 0).where(rare | F.array_contains("chosen", F.col("rank"))).select("item_id", "words", "gram", "place")
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman with linear gaps: the best score, and where the alignment starts and ends in ``text``."""
     n = len(text)
@@ -170,22 +160,25 @@ def _stretches(offsets: np.ndarray, length: int) -> list[tuple[int, int]]:
 def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame, score: float = SCORE) -> DataFrame:
     """(doc_id, mark, item_id, score, start, end): items that a document holds, and in which of its words."""
     grams = staged(spark, item_grams(benchmark), "grams")
+    sizes = sorted(r["n"] for r in grams.select(F.least(F.size("words"), F.lit(N)).alias("n")).distinct().collect()) or [N]
     hits = None
     for part in _parts(grams):
-        found = _hits(documents, part)
+        found = _hits(documents, part, sizes)
         hits = found if hits is None else hits.union(found)
     if hits is None:
-        hits = _hits(documents, np.empty(0, np.int64))
+        hits = _hits(documents, np.empty(0, np.int64), sizes)
     hits = staged(spark, hits, "hits")
-    chosen = seeds(grams, hits, documents.count())
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    item = F.struct("item_id", "words")
+    # The words join once for a document and item, not for each of their seeds.
+    grams = grams.withColumn("item_mark", F.xxhash64("words"))
+    items = grams.select(F.col("item_id").alias("i_id"), F.col("item_mark").alias("i_mark"), "words").distinct()
     candidates = (
-        hits.join(chosen, "gram")
-        .groupBy("doc_id", "mark", "item_id", "words")
+        hits.join(grams.select("item_id", "item_mark", "gram", "place").distinct(), "gram")
+        .groupBy("doc_id", "mark", "item_id", "item_mark")
         .agg(F.collect_set(F.col("at") - F.col("place")).alias("offsets"))
+        .join(items, (F.col("item_mark") == F.col("i_mark")) & F.col("item_id").eqNullSafe(F.col("i_id")))
         .groupBy("doc_id", "mark")
-        .agg(F.collect_list(F.struct(item.alias("item"), "offsets")).alias("candidates"))
+        .agg(F.collect_list(F.struct(F.struct("item_id", "words").alias("item"), "offsets")).alias("candidates"))
         .select(F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"), "candidates")
     )
     marked = documents.select("doc_id", F.xxhash64("text").alias("mark"), "text")
@@ -205,6 +198,9 @@ def find_leaks(spark: SparkSession, documents: DataFrame, benchmark: DataFrame,
                 best = (0, 0, 0)
                 for a, z in _stretches(np.array(candidate["offsets"], np.int64), len(words)):
                     a = max(a, 0)
+                    # Each match is worth its share at most, and only words that stand there match.
+                    if np.isin(words, text[a:z]).sum() < score * len(words):
+                        continue
                     got, begin, end = align(words, text[a:z])
                     if got > best[0]:
                         best = (got, a + begin, a + end)

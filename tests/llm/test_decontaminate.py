@@ -57,6 +57,21 @@ def test_an_item_in_every_document_is_found_in_each(spark):
     assert find_leaks(spark, docs, table(spark, [(1, item, "m")])).count() == 60
 
 
+def test_edited_copies_of_a_hot_item_are_found(spark):
+    words = [f"c{i}" for i in range(30)]
+    rows = [(i, f"start{i} {' '.join(words)} end{i}") for i in range(40)]
+    rows.append((100, " ".join("changed" if i % 5 == 2 else w for i, w in enumerate(words))))
+    found = find_leaks(spark, documents(spark, rows), table(spark, [(1, " ".join(words), "m")])).collect()
+    assert {x["doc_id"] for x in found} == {i for i, _ in rows}
+
+
+def test_items_of_few_words_are_found_as_a_whole(spark):
+    items = table(spark, [(1, "One", "m"), (2, "two words", "m"), (3, "now three words", "m"), (4, "these are four words", "m")])
+    rows = [(10, "only one."), (20, "or two (words) here"), (30, "so now three words follow"), (40, "these are four words"), (50, "words two three now")]
+    found = {(x["doc_id"], x["item_id"], x["score"]) for x in find_leaks(spark, documents(spark, rows), items).collect()}
+    assert found == {(10, 1, 1.0), (20, 2, 1.0), (30, 3, 1.0), (40, 4, 1.0)}
+
+
 def test_odd_rows(spark):
     docs = documents(spark, odd_rows())
     items = table(spark, [(None, odd_rows()[0][1], None), (1, None, None), (2, "", None), (3, "short one", None), (4, "none of these words anywhere", None)])
