@@ -46,16 +46,16 @@ class Headers(NamedTuple):
 def header_lines(lines: DataFrame) -> DataFrame:
     """First non-blank line of each archive as (archive, header).
 
-    Only a file's first block can hold it. Timestamped lines are carried as null, so what
-    gets sorted per archive is one id per line and not the line. An archive that opens with
-    a timestamped line has a null header: all its lines then fail the arity check.
+    It may stand in any block, behind blank ones. Timestamped lines are carried as null, so
+    what gets sorted per archive is one id per line and not the line. An archive that opens
+    with a timestamped line has a null header: all its lines then fail the arity check.
     """
-    first_block = lines.filter((F.col("block_start") == 0) & (strip(F.col("line")) != ""))
+    written = lines.filter(strip(F.col("line")) != "")
     opens_with_ts = parse_ts(F.substring_index(strip(F.col("line")), ",", 1)).isNotNull()
-    candidates = first_block.select(
-        "archive", "row_id", F.when(~opens_with_ts, strip(F.col("line"))).alias("header")
+    candidates = written.select(
+        "archive", F.struct("block_start", "row_id").alias("place"), F.when(~opens_with_ts, strip(F.col("line"))).alias("header")
     )
-    return candidates.groupBy("archive").agg(F.min_by("header", "row_id").alias("header"))
+    return candidates.groupBy("archive").agg(F.min_by("header", "place").alias("header"))
 
 
 def read_headers(

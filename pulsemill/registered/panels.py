@@ -90,8 +90,11 @@ def _register_saved(key):
 
     @query(f"q_saved_{key}", _pivot_sql(names) if names else long_sql)
     def saved(spark, sf):
-        result = panel_query(panel_samples(spark, sf), panel, EVERY, START, STOP, metrics=names)
-        return _plain_names(result, names) if names else _rounded(result, "value")
+        samples = panel_samples(spark, sf)
+        # The columns are the names that match, not those the SQL lists.
+        matching = s.metric_names(samples, panel.pattern) if panel.pivot else None
+        result = panel_query(samples, panel, EVERY, START, STOP, metrics=matching)
+        return _plain_names(result, matching) if panel.pivot else _rounded(result, "value")
 
     if panel.legend:
         figures = {"mean": "round(avg(value) + 1e-9, 6) as mean", "max": "round(max(value) + 1e-9, 6) as max", "last": "round(arg_max(value, t) + 1e-9, 6) as last"}

@@ -49,6 +49,16 @@ def test_expand(spark, folder, inline_bytes):
     assert errors["none.tar.xz"] == "no report in archive"
 
 
+def test_a_header_behind_blank_blocks_is_found(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for blank in (0, 1023, 1024, 3000):
+        pack(tmp_path / "in" / f"b{blank}.tar.xz", {"r.csv": "\n" * blank + "Time,mem.util.free\n2025-10-09 12:00:00,1\n2025-10-09 12:00:01,2\n"})
+    store = StorePaths(str(tmp_path / "store"))
+    ingest_archives(spark, read_archives(spark, str(tmp_path / "in")), store, 1, IngestOptions())
+    ledger = spark.read.parquet(store.ledger).groupBy("status").count().collect()
+    assert [(x["status"], x["count"]) for x in ledger] == [("processed", 4)]
+
+
 def test_ingest_archives(spark, folder, tmp_path):
     store = StorePaths(str(tmp_path / "store"))
     files = read_archives(spark, str(folder / "input"))

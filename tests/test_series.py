@@ -140,3 +140,15 @@ def test_first_sample(spark):
     rows.append(("2", "m00", at(3), -1.0))
     got = {x["metric"]: x["value"] for x in s.first_sample(frame(spark, rows)).collect()}
     assert got == {f"m{i:02d}": float(10 * i + 2) for i in range(1, 10)} | {"m00": -1.0}
+
+
+def test_saved_pivots_show_every_matching_metric(spark, monkeypatch):
+    from pulsemill.registered import panels
+    from pulsemill.registered.registry import QUERIES
+
+    rows = [("SERVER1", "1", m, float(v)) for v, m in enumerate(("psoc.now.cpu.cpu0", "psoc.now.cpu.cpu1", "psoc.now.cpu.cpu2"))]
+    samples = spark.createDataFrame(rows, "product_type string, serialNumber string, metric string, value double")
+    samples = samples.withColumn("ts", F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
+    monkeypatch.setattr(panels, "panel_samples", lambda spark, sf: samples)
+    (row,) = QUERIES["q_saved_q1"](spark, "").collect()
+    assert (row["psoc_now_cpu_cpu0"], row["psoc_now_cpu_cpu2"]) == (0.0, 2.0)
