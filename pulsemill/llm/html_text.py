@@ -2,12 +2,13 @@
 
 A page is cut into blocks at block-level tags. The first pass judges each block by itself:
 where it stands (navigation, adverts, forms, comments and the like are out, an article element
-is in), how much of it is link text, how long it is and how many of its words are stop words.
+or another that holds most of the prose is in), how much of it is link text, how long it is and how many of its words are stop words.
 Blocks it cannot decide, mostly short ones, inherit in the second pass from the nearest
 decided blocks before and after.
 
-Defined results: a null or empty page gives an empty text; broken markup (open tags, cut
-tags or comments) ends with the page; text cut inside a character reference stays as it is;
+Defined results: a null or empty page gives an empty text; broken markup (cut tags or comments,
+scripts and the like that are never closed) ends with the page; a head ends with its first content,
+an open button, select, object or drawing with its parent, or at the next block if it is never closed; text cut inside a character reference stays as it is;
 repeated rows get equal results.
 """
 
@@ -28,6 +29,8 @@ from pulsemill.llm.quality import FUNCTION_WORDS
 MOST_LINKS = 0.33
 MOST_LINKS_IN_ARTICLE = 0.6
 LONG_WORDS = 15
+# An element is the main part if it holds this share of the page's prose.
+MAIN_SHARE = 0.5
 STOP_HIGH, STOP_LOW = 0.25, 0.1
 
 # Tags and words of class names, as HTML and common page templates have them.
@@ -35,7 +38,9 @@ _BLOCK_TAGS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_RAW_TAGS = frozenset("script style noscript template textarea svg math iframe head title select button object canvas".split())
+_RAW_TAGS = frozenset("script style noscript template textarea iframe title".split())
+# Their content is no text, but other than that of a raw tag it ends with their parent, if not by their own end tag.
+_MUTE_TAGS = frozenset("svg math select button object canvas".split())
 _VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BAD_TAGS = frozenset("nav footer aside form menu dialog".split())
 _BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
@@ -58,11 +63,13 @@ _STOP = frozenset(FUNCTION_WORDS)
 
 @dataclass
 class Open:
-    """An open element: whether it puts its content out, in the main part, or inside a link."""
+    """An open element: whether it puts its content out, in the main part, or mutes it."""
 
     tag: str
     bad: bool
     main: int
+    mute: bool = False
+    open_ended: bool = False
 
 
 @dataclass
@@ -99,10 +106,17 @@ def _judge_element(tag: str, raw: str, parent: Open | None) -> tuple[bool, int]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks of a page in order, with where they stand and how much of them is link text."""
     blocks, stack, links = [Block()], [], 0
-    at, n = 0, len(page)
+    at, n, in_head = 0, len(page), False
+    lowered, last_end = page.lower(), {}
+
+    def mute() -> bool:
+        return bool(stack) and stack[-1].mute
 
     def put(text: str) -> None:
-        if text:
+        nonlocal in_head
+        # Text other than that of a raw tag ends the head, whether or not its end tag follows.
+        in_head = in_head and not text.strip()
+        if text and not in_head and not mute():
             block = blocks[-1]
             block.text.append(text)
             if links:
@@ -136,12 +150,30 @@ def blocks_of(page: str) -> list[Block]:
                 end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
                 at = n if end is None else end.end()
             continue
+        if tag == "head":
+            in_head = not m[1]
+            continue
+        # The end tag of the head may be left out.
+        in_head = in_head and tag not in _BLOCK_TAGS
+        if mute() and tag in _BLOCK_TAGS and tag != "option":
+            # One that is never closed ends where a block does or begins.
+            while stack and stack[-1].tag in _MUTE_TAGS and stack[-1].open_ended:
+                stack.pop()
+        if tag in _MUTE_TAGS and not m[1] and not raw.endswith("/"):
+            if tag in ("button", "select") and stack and stack[-1].tag == tag:
+                stack.pop()
+            if tag not in last_end:
+                last_end[tag] = lowered.rfind(f"</{tag}")
+            top = stack[-1] if stack else None
+            stack.append(Open(tag, bool(top and top.bad), top.main if top else 0, True, last_end[tag] < at))
+            continue
         if tag == "a":
             links = 0 if m[1] else 1
         if tag in _VOID_TAGS or raw.endswith("/"):
             if tag in _BLOCK_TAGS:
                 put(" ")
             continue
+        muted = mute()
         if m[1]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag:
@@ -155,10 +187,12 @@ def blocks_of(page: str) -> list[Block]:
             bad, main = _judge_element(tag, raw, parent)
             # Inline elements matter only where their own names put them out.
             if tag in _BLOCK_TAGS or bad:
-                stack.append(Open(tag, bad or bool(parent and parent.bad), max(main, parent.main if parent else 0)))
-            if bad and tag not in _BLOCK_TAGS:
+                stack.append(Open(tag, bad or bool(parent and parent.bad), max(main, parent.main if parent else 0), muted))
+            if bad and tag not in _BLOCK_TAGS and not muted:
                 cut()
                 continue
+        if muted and mute():
+            continue
         if tag in _BLOCK_TAGS or (m[1] and blocks[-1].bad != bool(stack and stack[-1].bad)):
             links = links if tag == "a" else 0
             cut()
@@ -205,11 +239,24 @@ def second_pass(marks: list[int], in_main: bool) -> list[bool]:
     return out
 
 
+def _main_rank(found: list[tuple[Block, str]]) -> int:
+    """How surely a block must be in the main part: the surest elements that hold most of the page's prose."""
+    prose = [0, 0, 0, 0]
+    for b, text in found:
+        if first_pass(text, b.link_chars, b.main > 0) == GOOD:
+            prose[b.main] += len(text)
+    total = sum(prose)
+    for rank in (3, 2, 1):
+        if total and sum(prose[rank:]) >= MAIN_SHARE * total:
+            return rank
+    return 0 if total else max((b.main for b, _ in found), default=0)
+
+
 def main_text(page: str) -> str:
     """The main text of a page, blocks joined by one space."""
     found = [(b, " ".join(html.unescape("".join(b.text)).split())) for b in blocks_of(page)]
     found = [(b, text) for b, text in found if text and not b.bad]
-    surest = max((b.main for b, _ in found), default=0)
+    surest = _main_rank(found)
     if surest:
         found = [(b, text) for b, text in found if b.main >= surest]
     marks = [first_pass(text, b.link_chars, surest > 0) for b, text in found]

@@ -37,3 +37,26 @@ def test_rows(spark):
     got = sorted(extract_text(pages).collect(), key=str)
     assert len(got) == 5 and {r["n_chars"] for r in got} == {0, len(LONG)}
     assert extract_text(pages.limit(0)).collect() == []
+
+
+PROSE = "It was the first of the days on which the people of the town could see that the river had come up over the road to the mill. "
+
+
+def test_raw_tags_without_their_end_tag():
+    want = (PROSE * 3).strip()
+    for page in (
+        f"<html><head><title>x</title><body><p>{PROSE * 3}</p></body></html>",
+        f"<head><meta charset=utf-8><script>a('<p>')</script><title>x</title><p>{PROSE * 3}",
+        f"<body><article><div><button>Menu</div><p>{PROSE * 3}</p><button>Send</button></article></body>",
+        *(f"<body><{tag}>Menu<p>{PROSE * 3}</p></body>" for tag in ("button", "select", "svg", "object")),
+        *(f"<body><article><div><{tag}>Menu</div><p>{PROSE * 3}</p></article></body>" for tag in ("button", "select", "svg", "object")),
+        f"<body><p>{PROSE}<select><option>one<option>two</select>{PROSE * 2}</p></body>",
+    ):
+        assert " ".join(main_text(page).split()) == want, page
+
+
+def test_a_teaser_is_not_the_main_part():
+    teaser = "<article><h3>Related</h3><p>The mill and the people who ran it in the years before the war, and after.</p></article>"
+    for a, z in (("<main>", "</main>"), ('<div class="content">', "</div>")):
+        assert PROSE.strip() in main_text(f"<body>{a}{f'<p>{PROSE}</p>' * 5}{z}{teaser}</body>")
+        assert main_text(f"<body>{a}{f'<p>{PROSE}</p>' * 5}{teaser}{z}</body>").count(PROSE.strip()) == 5
