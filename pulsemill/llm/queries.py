@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity
+from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity, url_filter
 from pulsemill.llm.frames import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,13 @@ def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge_urls(spark, pages, url_filter.listed_by_name(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+LLM_SQL["op11_url_filter"] = url_filter.URL_SQL.format(table="pages")
