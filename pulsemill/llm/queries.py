@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, repeats, secret_scan, token_counts, toxicity, url_filter
+from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, ranked_search, repeats, secret_scan, token_counts, toxicity, url_filter
 from pulsemill.llm.frames import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_SQL["op11_url_filter"] = url_filter.URL_SQL.format(table="pages")
+
+
+@_query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return ranked_search.search(spark, documents, benchmark).drop("place")
+
+
+LLM_SQL["op13_ranked_search"] = ranked_search.SEARCH_SQL.format(documents="documents", benchmark="benchmark")
