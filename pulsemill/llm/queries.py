@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, quality, ranked_search, repeats, secret_scan, token_counts, toxicity, url_filter
+from pulsemill.llm import decontaminate, html_text, licenses, mixing, near_dups, prefix_trie, quality, ranked_search, repeats, secret_scan, token_counts, toxicity, url_filter
 from pulsemill.llm.frames import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,11 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_SQL["op13_ranked_search"] = ranked_search.SEARCH_SQL.format(documents="documents", benchmark="benchmark")
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark, read_table(spark, sf_dir, "conversations"))
+
+
+LLM_SQL["op12_prefix_trie"] = prefix_trie.TRIE_SQL.format(table="conversations")
