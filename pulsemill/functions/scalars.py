@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from pulsemill.schema import NULL_TOKENS, TS_FORMAT
 
-_BLANKS = " \t\n\r\x0b\x0c"
+BLANKS = " \t\n\r\x0b\x0c"
 # Plain decimal notation only: try_cast alone would also take 1d, 0x1p3, nan and inf.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(_BLANKS))
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def clean_cell(c: Column) -> Column:

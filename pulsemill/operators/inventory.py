@@ -27,21 +27,32 @@ def last_n_lines(logs: DataFrame, n: int = 5, position: tuple[str, ...] = ("path
     return tail.filter(strip(F.col("line")) != "")
 
 
-def run_ledger(counters: DataFrame, ingest_seq: int, failed: DataFrame | None = None) -> DataFrame:
-    """One row per archive of a run: processed with its counters, or failed with the reason."""
-    processed = counters.select(
+def run_ledger(
+    counters: DataFrame, ingest_seq: int, failed: DataFrame | None = None, listed: DataFrame | None = None
+) -> DataFrame:
+    """One row per archive of a run: processed with its counters, or failed with the reason.
+
+    ``counters``, ``failed`` (archive, error) and ``listed`` (archive), the archives that the run
+    was given, are reconciled by full outer joins: an archive that any of them names has its row,
+    also if nothing of it was ever counted. Counters of such an archive are 0.
+    """
+    numbers = [c for c in counters.columns if c != "archive"]
+    rows = counters.withColumn("counted", F.lit(True))
+    if failed is not None:
+        rows = rows.join(failed.select("archive", F.col("error").alias("reason")), "archive", "full")
+    else:
+        rows = rows.withColumn("reason", F.lit(None).cast("string"))
+    if listed is not None:
+        rows = rows.join(listed.select("archive").distinct(), "archive", "full")
+    unread = F.when(F.col("counted").isNull(), "no lines in report").otherwise("no usable points")
+    error = F.coalesce("reason", F.when(F.coalesce("points", F.lit(0)) == 0, unread))
+    return rows.select(
         F.lit(ingest_seq).cast("long").alias("ingest_seq"),
         "archive",
-        F.when(F.col("points") > 0, "processed").otherwise("failed").alias("status"),
-        F.when(F.col("points") > 0, F.lit(None)).otherwise("no usable points").cast("string").alias("error"),
-        *[c for c in counters.columns if c != "archive"],
-    )
-    if failed is None:
-        return processed
-    rejected = failed.select(
-        F.lit(ingest_seq).cast("long").alias("ingest_seq"), "archive", F.lit("failed").alias("status"), "error"
+        F.when(error.isNull(), "processed").otherwise("failed").alias("status"),
+        error.alias("error"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
     )
-    return processed.unionByName(rejected, allowMissingColumns=True)
 
 
 def outcome_totals(ledger: DataFrame) -> DataFrame:

@@ -35,39 +35,54 @@ LINE_KEY = ["archive", "block_start", "row_id"]
 
 
 class Headers(NamedTuple):
-    """``files``: archive, header_id, width. ``layouts``: header_id and the positions of its
-    wanted columns. ``columns``: header_id, slot (place among the wanted), pos, metric, field."""
+    """``archives``: every archive, with or without a header. ``files``: archive, header_id, width.
+    ``layouts``: header_id and the positions of its wanted columns. ``columns``: header_id, slot
+    (place among the wanted), pos, metric, field."""
 
+    archives: DataFrame
     files: DataFrame
     layouts: DataFrame
     columns: DataFrame
 
 
+def _header(line: Column) -> Column:
+    """A first line as header; null for a timestamped one."""
+    opens_with_ts = parse_ts(F.substring_index(strip(line), ",", 1)).isNotNull()
+    return F.when(~opens_with_ts, strip(line))
+
+
 def header_lines(lines: DataFrame) -> DataFrame:
     """First non-blank line of each archive as (archive, header).
 
     It may stand in any block, behind blank ones. Timestamped lines are carried as null, so
     what gets sorted per archive is one id per line and not the line. An archive that opens
-    with a timestamped line has a null header: all its lines then fail the arity check.
+    with a timestamped line has a null header: all its lines then fail the arity check. An
+    archive of blank lines has a null header too.
     """
-    written = lines.filter(strip(F.col("line")) != "")
-    opens_with_ts = parse_ts(F.substring_index(strip(F.col("line")), ",", 1)).isNotNull()
-    candidates = written.select(
-        "archive", F.struct("block_start", "row_id").alias("place"), F.when(~opens_with_ts, strip(F.col("line"))).alias("header")
-    )
+    place = F.when(strip(F.col("line")) != "", F.struct("block_start", "row_id"))
+    candidates = lines.select("archive", place.alias("place"), _header(F.col("line")).alias("header"))
     return candidates.groupBy("archive").agg(F.min_by("header", "place").alias("header"))
 
 
 def read_headers(
-    spark: SparkSession, lines: DataFrame, select: Callable[[DataFrame], DataFrame] = lambda columns: columns
+    spark: SparkSession,
+    lines: DataFrame,
+    select: Callable[[DataFrame], DataFrame] = lambda columns: columns,
+    first_lines: DataFrame | None = None,
 ) -> Headers:
     """Header tables of a set of reports, written once so that later plans only look them up.
 
-    ``select`` chooses among the columns (header_id, pos, metric, field).
+    ``select`` chooses among the columns (header_id, pos, metric, field). ``first_lines`` (archive,
+    header), if the source knows them already, saves a pass over the lines.
     """
     path = scratch_path(spark, "headers")
-    header_lines(lines).filter("header IS NOT NULL").write.parquet(f"{path}/headers")
-    headers = spark.read.parquet(f"{path}/headers")
+    if first_lines is None:
+        first_lines = header_lines(lines)
+    else:
+        first_lines = first_lines.select("archive", _header(F.col("header")).alias("header"))
+    first_lines.write.parquet(f"{path}/headers")
+    archives = spark.read.parquet(f"{path}/headers")
+    headers = archives.filter("header IS NOT NULL")
     seed = _collision_free_seed(headers)
     headers = headers.withColumn("header_id", F.xxhash64("header", F.lit(seed)))
     columns = (
@@ -82,6 +97,7 @@ def read_headers(
     select(columns).groupBy("header_id").agg(wanted).write.parquet(f"{path}/wanted")
     layouts = spark.read.parquet(f"{path}/wanted")
     return Headers(
+        archives.select("archive"),
         headers.select("archive", "header_id", F.size(split_line(F.col("header"))).alias("width")),
         layouts.select("header_id", F.col("wanted.pos").alias("positions")),
         layouts.select("header_id", F.posexplode("wanted").alias("slot", "column")).select(

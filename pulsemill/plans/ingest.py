@@ -17,7 +17,7 @@ from pulsemill.operators.points import claimed_twice, resolve_samples, shared_fi
 from pulsemill.schema import DEFAULT_MEASUREMENT, DEFAULT_PRODUCT_TYPE, DEFAULT_SERIAL, SAMPLES, TAGS
 from pulsemill.session import scratch_path
 from pulsemill.sinks import tables
-from pulsemill.sources.archives import expand_archives, quarantine
+from pulsemill.sources.archives import EXPANDED, quarantine, report_headers
 
 
 @dataclass(frozen=True)
@@ -113,9 +113,15 @@ def ingest_lines(
     ingest_seq: int,
     options: IngestOptions = IngestOptions(),
     failed: DataFrame | None = None,
+    first_lines: DataFrame | None = None,
+    listed: DataFrame | None = None,
 ) -> None:
-    """Load reports into the store: samples, catalogue and ledger."""
-    headers = r.read_headers(spark, lines, lambda columns: wanted_columns(columns, options))
+    """Load reports into the store: samples, catalogue and ledger.
+
+    ``failed`` (archive, error) are archives that could not be read, ``first_lines`` (archive,
+    header) the headers if they are known, ``listed`` (archive) files that may hold no line at all.
+    """
+    headers = r.read_headers(spark, lines, lambda columns: wanted_columns(columns, options), first_lines)
     # Text is parsed once; samples, catalogue and ledger all start from the staged arrays.
     staged = scratch_path(spark, "lines")
     read_lines(lines, headers).write.parquet(staged)
@@ -127,20 +133,22 @@ def ingest_lines(
     tables.merge_samples(spark, samples, store.samples, tables.time_spans(dated))
     seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
-    ledger = run_ledger(r.ingest_counters(rows, options.policy), ingest_seq, failed)
+    given = headers.archives if listed is None else headers.archives.unionByName(listed.select("archive"))
+    ledger = run_ledger(r.ingest_counters(rows, options.policy), ingest_seq, failed, given)
     tables.append_ledger(ledger, store.ledger)
 
 
 def ingest_archives(
     spark: SparkSession,
-    files: DataFrame,
+    expanded: DataFrame,
     store: StorePaths,
     ingest_seq: int,
     options: IngestOptions = IngestOptions(),
     keep_bronze: bool = False,
 ) -> None:
-    """Load compressed archives. They are expanded once, into a table everything else reads."""
+    """Load compressed archives, each unpacked once, into a table that everything else reads."""
     path = f"{store.bronze}/load={ingest_seq}" if keep_bronze else scratch_path(spark, "expanded")
-    tables.write_bronze(expand_archives(files), path, mode="overwrite")
-    good, failed = quarantine(spark.read.parquet(path))
-    ingest_lines(spark, good, store, ingest_seq, options, failed)
+    tables.write_bronze(expanded, path, mode="overwrite")
+    expanded = spark.read.schema(EXPANDED).parquet(path)
+    lines, failed = quarantine(expanded)
+    ingest_lines(spark, lines, store, ingest_seq, options, failed, report_headers(expanded))

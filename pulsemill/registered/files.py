@@ -9,9 +9,10 @@ from pulsemill.operators import reports as r
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, read_lines
 from pulsemill.registered import views
 from pulsemill.registered.registry import query
+from pulsemill.registered.reports import COUNTERS_SQL
 from pulsemill.session import scratch_path
 from pulsemill.sinks import tables
-from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, read_archives
+from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, report_headers
 from pulsemill.sources.reports import read_parser_log
 
 _FILES = "+ files as (select distinct event_id // 1000 as report from events)"
@@ -39,9 +40,10 @@ def state_counts(spark, sf):
 )
 def expand(spark, sf):
     path = scratch_path(spark, "expanded")
-    tables.write_bronze(expand_archives(read_archives(spark, views.write_archives(spark, sf))), path)
-    good, _ = quarantine(spark.read.parquet(path))
-    headers = r.read_headers(spark, good)
+    tables.write_bronze(expand_archives(spark, views.write_archives(spark, sf)), path)
+    expanded = spark.read.parquet(path)
+    good, _ = quarantine(expanded)
+    headers = r.read_headers(spark, good, first_lines=report_headers(expanded))
     values = r.melt(read_lines(good, headers), headers.columns)
     named = values.select(views.report_number(F.col("archive")).alias("report"), "ts", "metric", "value")
     return named.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
@@ -53,21 +55,47 @@ def expand(spark, sf):
     from files where report % 5 >= 3""",
 )
 def failed(spark, sf):
-    _, rejected = quarantine(expand_archives(read_archives(spark, views.write_archives(spark, sf))))
+    _, rejected = quarantine(expand_archives(spark, views.write_archives(spark, sf)))
     reason = F.when(F.col("error") == "no report in archive", F.col("error")).otherwise("damaged")
     return rejected.select(views.report_number(F.col("archive")).alias("report"), reason.alias("reason"))
 
 
+def _mixed_store(spark, sf):
+    store = StorePaths(scratch_path(spark, "store"))
+    expanded = expand_archives(spark, views.write_mixed_archives(spark, sf))
+    ingest_archives(spark, expanded, store, 1, IngestOptions(policy=("skip_zero",), categories={"proc": True, "nfs": True}))
+    return store
+
+
 @query(
     "q_archive_ledger",
-    f"""{_FILES} select case when report % 5 < 3 then 'processed' else 'failed' end as status, count(*) as n
+    f"""{_FILES} select case when report % 7 < 3 then 'processed' else 'failed' end as status, count(*) as n
     from files group by all""",
 )
 def archive_ledger(spark, sf):
-    store = StorePaths(scratch_path(spark, "store"))
-    files = read_archives(spark, views.write_archives(spark, sf))
-    ingest_archives(spark, files, store, 1, IngestOptions(policy=("skip_zero",)))
-    return inv.outcome_totals(spark.read.parquet(store.ledger))
+    return inv.outcome_totals(spark.read.parquet(_mixed_store(spark, sf).ledger))
+
+
+_COUNTERS = ["lines", "points", "values", "skipped_null", "skipped_text", "skipped_filtered", "bad_arity", "bad_ts"]
+
+
+@query(
+    "q_archive_outcomes",
+    f"""{COUNTERS_SQL}
+    select cast(1 as bigint) as ingest_seq, report, case when report % 7 < 3 then 'processed' else 'failed' end as status,
+      case report % 7 when 3 then 'no report in archive' when 4 then 'damaged' when 5 then 'no lines in report'
+        when 6 then 'no lines in report' end as reason,
+      {", ".join(f"case when report % 7 < 3 then {c} else 0 end as {c}" for c in _COUNTERS)}
+    from counters""",
+)
+def archive_outcomes(spark, sf):
+    ledger = spark.read.parquet(_mixed_store(spark, sf).ledger)
+    known = F.col("error").isNull() | F.col("error").startswith("no ")
+    reason = F.when(known, F.col("error")).otherwise("damaged")
+    return ledger.select(
+        F.col("ingest_seq").cast("long").alias("ingest_seq"),
+        views.report_number(F.col("archive")).alias("report"), "status", reason.alias("reason"), *_COUNTERS,
+    )
 
 
 # --- logs ---------------------------------------------------------------------------------

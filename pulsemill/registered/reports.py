@@ -156,14 +156,14 @@ def parse_report(spark, sf):
     return _ntz(named, "ts")
 
 
-@query(
-    "q_ingest_counters",
-    """+ per_line as (
+# Counters of every report, from its lines.
+COUNTERS_SQL = """+ per_line as (
       select report, bad_arity, bad_ts, not bad_arity and not bad_ts as usable, kind in (2, 3) as is_text,
         kind not in (2, 3) and (kind = 4 or value = 0) as is_zero,
         variant = 2 and metric = 'mem.util.free' and event_id % 2 = 0 as extra,
         case when variant = 2 then 6 else 5 end as width
-      from report_lines)
+      from report_lines),
+    counters as (
     select report, count(*) as lines,
       count(*) filter (usable and (not is_text and not is_zero or extra)) as points,
       cast(sum(case when usable then (not is_text and not is_zero)::int + extra::int else 0 end) as bigint) as values,
@@ -172,8 +172,10 @@ def parse_report(spark, sf):
       count(*) filter (usable and is_zero) as skipped_filtered,
       count(*) filter (bad_arity) as bad_arity,
       count(*) filter (bad_ts and not bad_arity) as bad_ts
-    from per_line group by report""",
-)
+    from per_line group by report)"""
+
+
+@query("q_ingest_counters", f"{COUNTERS_SQL} select * from counters")
 def ingest_counters(spark, sf):
     lines = _reports(spark, sf)
     rows = read_lines(lines, r.read_headers(spark, lines))

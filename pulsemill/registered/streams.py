@@ -54,3 +54,14 @@ def stream_ingest(spark, sf):
     for _ in range(2):
         st.ingest_available(spark, path, store, checkpoint, report_devices(spark, sf))
     return stored(spark, store).select("product_type", "serialNumber", "ts", "metric", "field", "value")
+
+
+@query("q_stream_archives", f"{STORED_SQL} where report % 7 < 3")
+def stream_archives(spark, sf):
+    apply_settings(spark)
+    path = views.write_mixed_archives(spark, sf)
+    store = StorePaths(scratch_path(spark, "store"))
+    checkpoint = scratch_path(spark, "archives-checkpoint")
+    for _ in range(2):
+        st.ingest_available(spark, path, store, checkpoint, report_devices(spark, sf), archives=True)
+    return stored(spark, store).select("product_type", "serialNumber", "ts", "metric", "field", "value")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -209,22 +210,48 @@ def report_number(path: Column) -> Column:
 def write_archives(spark: SparkSession, sf_dir: str) -> str:
     """Write the reports as .tar.xz; every fifth one is cut off, and the archives of report
     numbers that leave 3 have no report inside."""
+    names = {3: "notes.bin"}
+    return _pack_reports(
+        spark,
+        sf_dir,
+        lambda report: f"report={report}.tar.xz",
+        lambda report, text: (names.get(report % 5, "logs/day/report.csv"), text),
+        lambda report: report % 5 == 4,
+    )
+
+
+def write_mixed_archives(spark: SparkSession, sf_dir: str) -> str:
+    """The same under names with glob characters. By report number modulo 7: whole (0 and 1), behind
+    1,500 blank lines (2), without a report (3), cut off (4), blank lines only (5), empty (6)."""
+
+    def member(report: int, text: str) -> tuple[str, str]:
+        kind = report % 7
+        given = {2: "\n" * 1500 + text, 5: "\n" * 1500, 6: ""}
+        return "notes.bin" if kind == 3 else "logs/day/report.csv", given.get(kind, text)
+
+    return _pack_reports(spark, sf_dir, lambda report: f"run[report={report}].tar.xz", member, lambda report: report % 7 == 4)
+
+
+def _pack_reports(
+    spark: SparkSession,
+    sf_dir: str,
+    name: Callable[[int], str],
+    member: Callable[[int, str], tuple[str, str]],
+    cut: Callable[[int], bool],
+) -> str:
     path = scratch_path(spark, "archives")
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         report = int(group["report"].iloc[0])
-        text = "\n".join(group.sort_values("seq")["line"]) + "\n"
-        name = "notes.bin" if report % 5 == 3 else "logs/day/report.csv"
+        inside, text = member(report, "\n".join(group.sort_values("seq")["line"]) + "\n")
         buffer = io.BytesIO()
         with tarfile.open(fileobj=buffer, mode="w:xz") as archive:
-            member = tarfile.TarInfo(name)
+            entry = tarfile.TarInfo(inside)
             data = text.encode()
-            member.size = len(data)
-            archive.addfile(member, io.BytesIO(data))
+            entry.size = len(data)
+            archive.addfile(entry, io.BytesIO(data))
         content = buffer.getvalue()
-        if report % 5 == 4:
-            content = content[: len(content) // 2]
-        _write_bytes(f"{path}/input/report={report}.tar.xz", content)
+        _write_bytes(f"{path}/input/{name(report)}", content[: len(content) // 2] if cut(report) else content)
         return pd.DataFrame({"report": [report]})
 
     # A report is at most 1000 lines, so a group is small however large the table.

@@ -8,11 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.series import aggregate_window
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, ingest_lines
-from pulsemill.sources.archives import read_archives
+from pulsemill.sources.archives import stream_archives
 from pulsemill.sources.reports import with_line_position
 
-_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
-
 
 def ingest_available(
     spark: SparkSession,
@@ -27,24 +25,20 @@ def ingest_available(
     """Load the files that wait in a directory, then stop.
 
     The checkpoint remembers what was loaded. A batch repeated after a failure has the same
-    number and overwrites its own samples. ``files_per_batch`` bounds a batch's headers;
-    ``first_seq`` numbers the first batch, for a store that other loads went into before.
+    number and overwrites its own samples. ``files_per_batch`` bounds a batch of text reports;
+    archives that wait make one batch. ``first_seq`` numbers the first batch, for a store that
+    other loads went into before.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         seq = first_seq + batch_id
         if archives:
-            # At most files_per_batch paths; the files themselves are read by the tasks.
-            paths = [row["path"] for row in batch.collect()]
-            files = read_archives(batch.sparkSession, paths)
-            ingest_archives(batch.sparkSession, files, store, seq, options)
+            ingest_archives(batch.sparkSession, batch, store, seq, options)
         else:
             ingest_lines(batch.sparkSession, with_line_position(batch), store, seq, options)
 
     if archives:
-        reader = spark.readStream.format("binaryFile").schema(_BINARY_FILE)
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-        source = reader.option("pathGlobFilter", "*.tar.xz").load(path).select("path")
+        source = stream_archives(spark, path, f"{checkpoint}/archives")
     else:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         # The metadata has to be selected here to reach the batch.

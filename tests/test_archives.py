@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pulsemill.operators.inventory import newest_first, state_counts
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives
 from pulsemill.sinks.tables import export_reports, read_catalog, read_samples
-from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, read_archives
+from pulsemill.sources import archives as source
+from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, report_headers
 from pulsemill.sources.reports import read_parser_log
 from pulsemill.streaming.streams import ingest_available
 
@@ -36,9 +37,12 @@ def folder(tmp_path):
     return tmp_path
 
 
-@pytest.mark.parametrize("inline_bytes", [10**9, 0])
-def test_expand(spark, folder, inline_bytes):
-    good, failed = quarantine(expand_archives(read_archives(spark, str(folder / "input")), inline_bytes))
+@pytest.mark.parametrize("task_bytes", [1, 1 << 30])
+def test_expand(spark, folder, task_bytes, monkeypatch):
+    monkeypatch.setattr(source, "TASK_BYTES", task_bytes)
+    expanded = expand_archives(spark, str(folder / "input"))
+    assert expanded.rdd.getNumPartitions() == (4 if task_bytes == 1 else 1)
+    good, failed = quarantine(expanded)
     rows = good.orderBy("row_id").collect()
     assert [x["line"] for x in rows] == REPORT.splitlines()
     assert {x["member"] for x in rows} == {"a/a/report.csv"}
@@ -54,14 +58,14 @@ def test_a_header_behind_blank_blocks_is_found(spark, tmp_path):
     for blank in (0, 1023, 1024, 3000):
         pack(tmp_path / "in" / f"b{blank}.tar.xz", {"r.csv": "\n" * blank + "Time,mem.util.free\n2025-10-09 12:00:00,1\n2025-10-09 12:00:01,2\n"})
     store = StorePaths(str(tmp_path / "store"))
-    ingest_archives(spark, read_archives(spark, str(tmp_path / "in")), store, 1, IngestOptions())
+    ingest_archives(spark, expand_archives(spark, str(tmp_path / "in")), store, 1, IngestOptions())
     ledger = spark.read.parquet(store.ledger).groupBy("status").count().collect()
     assert [(x["status"], x["count"]) for x in ledger] == [("processed", 4)]
 
 
 def test_ingest_archives(spark, folder, tmp_path):
     store = StorePaths(str(tmp_path / "store"))
-    files = read_archives(spark, str(folder / "input"))
+    files = expand_archives(spark, str(folder / "input"))
     for seq in (1, 2):
         ingest_archives(spark, files, store, seq, IngestOptions(policy=("skip_zero",)), keep_bronze=True)
     samples = read_samples(spark, store.samples)
@@ -71,7 +75,7 @@ def test_ingest_archives(spark, folder, tmp_path):
     assert {(x["ingest_seq"], x["status"]): x["count"] for x in ledger} == {
         (1, "processed"): 1, (1, "failed"): 3, (2, "processed"): 1, (2, "failed"): 3,
     }
-    assert spark.read.parquet(store.bronze).filter("error IS NULL").count() == 2 * 2501
+    assert spark.read.parquet(store.bronze).filter("kind = 'line' AND member = 'a/a/report.csv' AND archive LIKE '%good%'").count() == 2 * 2501
 
 
 def test_inventory(spark, folder, plan_of):
@@ -100,7 +104,7 @@ def test_parser_log(spark, tmp_path):
 
 
 def test_exported_reports_keep_their_lines(spark, folder, tmp_path):
-    good, _ = quarantine(expand_archives(read_archives(spark, str(folder / "input"))))
+    good, _ = quarantine(expand_archives(spark, str(folder / "input")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         export_reports(good, str(tmp_path / "out"))
@@ -122,5 +126,92 @@ def test_directory_of_archives(spark, folder, tmp_path):
 
 def test_an_empty_report_is_a_failed_archive(spark, tmp_path):
     pack(tmp_path / "empty.tar.xz", {"a/report.csv": ""})
-    good, failed = quarantine(expand_archives(read_archives(spark, str(tmp_path))))
+    good, failed = quarantine(expand_archives(spark, str(tmp_path)))
     assert good.count() == 0 and [x["error"] for x in failed.collect()] == ["no lines in report"]
+
+
+def names(rows):
+    return {x["archive"].rsplit("/", 1)[1]: x for x in rows}
+
+
+def test_closing_records(spark, folder):
+    pack(folder / "input" / "two.tar.xz", {"z.csv": REPORT, "b.csv": "Time,x\n", "a.csv": "\n \n2025-10-09 12:00:00,1\n", "y.csv": "never\n"})
+    expanded = expand_archives(spark, str(folder / "input"))
+    closing = names(expanded.filter("kind = 'report'").collect())
+    assert [closing["two.tar.xz"][c] for c in ("member", "n_lines", "header", "error")] == ["a.csv", 3, "2025-10-09 12:00:00,1", None]
+    assert closing["cut.tar.xz"]["error"] and closing["none.tar.xz"]["member"] is None and len(closing) == 5
+    passed = expanded.filter("kind = 'passed over'").select("member").collect()
+    assert sorted(x["member"] for x in passed) == ["a/b/z.csv", "a/b/z.csv", "b.csv", "z.csv"]
+    good, _ = quarantine(expanded)
+    assert good.filter("archive LIKE '%two.tar.xz'").count() == 3
+    headers = names(report_headers(expanded).collect())
+    assert headers["good.tar.xz"]["header"] == "Time,mem.util.free,proc.x" and headers["cut.tar.xz"]["header"] is None
+
+
+def test_each_archive_is_unpacked_once(folder, monkeypatch):
+    opened = []
+    real = source.tarfile.open
+    monkeypatch.setattr(source.tarfile, "open", lambda **more: (opened.append(1), real(**more))[1])
+    rows = sum(b.num_rows for b in source._read_archive(str(folder / "input" / "good.tar.xz")))
+    assert len(opened) == 1 and rows == 2501 + 1 + 1 + 1
+
+
+def test_names_are_no_patterns(spark, tmp_path):
+    """Names with glob characters, blanks, percent signs and other letters, as a folder and as single files."""
+    wanted = ["run[1].tar.xz", "a*b?.tar.xz", "{x,y} %41.tar.xz", "ü.tar.xz"]
+    (tmp_path / "in[1]").mkdir()
+    for name in wanted:
+        pack(tmp_path / "in[1]" / name, {"r.csv": REPORT})
+    folder = expand_archives(spark, str(tmp_path / "in[1]"))
+    assert set(names(folder.filter("kind = 'report' AND error IS NULL").collect())) == set(wanted)
+    single = expand_archives(spark, [f"file:{tmp_path}/in[1]/{n}" for n in wanted[:2]])
+    assert single.filter("kind = 'line'").count() == 2 * 2501
+    with pytest.raises(Exception, match="nowhere"):
+        expand_archives(spark, str(tmp_path / "nowhere")).count()
+
+
+def test_ledger_has_every_archive(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    kinds = {"good": {"r.csv": REPORT}, "run[1]": {"r.csv": "\n" * 3000 + REPORT}, "blank": {"r.csv": "\n" * 1500}, "empty": {"r.csv": ""},
+             "none": {"x.bin": "x"}, "only": {"r.csv": "Time,a\n"}, "text": {"r.csv": "Time,a\n2025-10-09 12:00:00,x\n"}}
+    for name, members in kinds.items():
+        pack(tmp_path / "in" / f"{name}.tar.xz", members)
+    (tmp_path / "in" / "junk.tar.xz").write_bytes(b"junk")
+    store = StorePaths(str(tmp_path / "store"))
+    ingest_available(spark, str(tmp_path / "in"), store, str(tmp_path / "c"), archives=True)
+    rows = {k.removesuffix(".tar.xz"): v for k, v in names(spark.read.parquet(store.ledger).collect()).items()}
+    assert {k: (v["status"], v["error"]) for k, v in rows.items() if k != "junk"} == {
+        "good": ("processed", None), "run[1]": ("processed", None), "blank": ("failed", "no lines in report"),
+        "empty": ("failed", "no lines in report"), "none": ("failed", "no report in archive"),
+        "only": ("failed", "no usable points"), "text": ("failed", "no usable points"),
+    }
+    assert rows["junk"]["status"] == "failed" and "ReadError" in rows["junk"]["error"]
+    assert rows["good"]["lines"] == rows["run[1]"]["lines"] == 2500 and rows["blank"]["lines"] == rows["junk"]["values"] == 0
+
+
+def test_stream_takes_what_is_new_or_changed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    store, run = StorePaths(str(tmp_path / "store")), lambda: ingest_available(spark, str(tmp_path / "in"), store, str(tmp_path / "c"), archives=True)
+    first = tmp_path / "in" / "run[1].tar.xz"
+    first.write_bytes(b"half an upload")
+    run()
+    pack(first, {"r.csv": REPORT})
+    run()
+    run()
+    pack(tmp_path / "in" / "old.tar.xz", {"r.csv": "Time,x\n2025-10-10 12:00:00,5\n"})
+    import os
+
+    os.utime(tmp_path / "in" / "old.tar.xz", (1, 1))  # older than all that was read
+    run()
+    assert read_samples(spark, store.samples).count() == 2501
+    ledger = spark.read.parquet(store.ledger).orderBy("ingest_seq").collect()
+    assert [(x["ingest_seq"], x["status"]) for x in ledger] == [(1, "failed"), (2, "processed"), (3, "processed")]
+
+
+def test_long_lines_and_wide_blocks(tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "BLOCK_BYTES", 1000)
+    lines = ["x" * 3_000_000, "", "y\r", *[str(i) * 400 for i in range(9)], "last"]
+    pack(tmp_path / "w.tar.xz", {"r.txt": "\n".join(lines)})
+    batches = list(source._read_archive(str(tmp_path / "w.tar.xz")))
+    assert [x for b in batches[:-1] for x in b["line"].to_pylist()] == [x.rstrip("\r") for x in lines]
+    assert [x for b in batches[:-1] for x in b["row_id"].to_pylist()] == list(range(len(lines)))
