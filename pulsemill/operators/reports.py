@@ -182,6 +182,11 @@ def numeric_columns(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_
     return side_join(found, columns, ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
 
 
+def gives_value(skip_zero: bool = False) -> Column:
+    """Whether a line's array holds a number that the value filter keeps."""
+    return F.coalesce(F.exists("numbers", lambda x: x.isNotNull() & ((x != 0) | F.lit(not skip_zero))), F.lit(False))
+
+
 def value_filter(df: DataFrame, policy: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """``skip_zero`` drops zeros; ``skip_empty`` and ``skip_none`` are accepted, since
     cells that are not numbers never get this far."""

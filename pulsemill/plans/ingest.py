@@ -16,6 +16,7 @@ from pulsemill.operators.joins import keep_validated, side_join, with_device_tag
 from pulsemill.operators.points import claimed_twice, resolve_samples, shared_fields
 from pulsemill.schema import DEFAULT_MEASUREMENT, DEFAULT_PRODUCT_TYPE, DEFAULT_SERIAL, SAMPLES, TAGS
 from pulsemill.session import scratch_path
+from pulsemill.sinks import samples as sample_store
 from pulsemill.sinks import tables
 from pulsemill.sources.archives import EXPANDED, quarantine, report_headers
 
@@ -128,9 +129,9 @@ def ingest_lines(
     rows = spark.read.parquet(staged)
     tagged = tag_rows(rows, options)
     samples = resolved_samples(spark, tagged, headers.columns, options, ingest_seq)
-    usable = tagged.filter("arity_ok AND ts IS NOT NULL")
+    usable = tagged.filter("arity_ok AND ts IS NOT NULL").filter(r.gives_value("skip_zero" in options.policy))
     dated = usable.withColumns({"d": F.to_date("ts"), "measurement": F.lit(options.measurement)})
-    tables.merge_samples(spark, samples, store.samples, tables.time_spans(dated))
+    sample_store.merge_samples(spark, samples, store.samples, sample_store.time_spans(dated))
     seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
     given = headers.archives if listed is None else headers.archives.unionByName(listed.select("archive"))

@@ -14,6 +14,7 @@ from pulsemill.registered.registry import query
 from pulsemill.schema import SERIES
 from pulsemill.session import scratch_path
 from pulsemill.sinks import tables
+from pulsemill.sinks.samples import indexed_tag_values, read_samples, read_spans
 from pulsemill.sources.reports import read_wide_reports
 
 _WIDE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ts", "metric", "value"]
@@ -231,8 +232,7 @@ STORED_SQL = """select 'RACK' || cast(report % 4 as varchar) as product_type, ca
 
 
 def stored(spark, store):
-    samples = tables.read_samples(spark, store.samples)
-    return _ntz(samples, "ts")
+    return _ntz(read_samples(spark, store.samples), "ts")
 
 
 @query("q_store_upsert", STORED_SQL)
@@ -275,3 +275,21 @@ def ledger(spark, sf):
     counters = r.ingest_counters(read_lines(lines, r.read_headers(spark, lines)))
     tables.append_ledger(run_ledger(counters, 1), path)
     return outcome_totals(spark.read.parquet(path))
+
+
+@query(
+    "q_index_tag_values",
+    """+ recent as (select report from report_samples where ts >= (select max(ts) from report_samples) - interval 2 days)
+    select distinct 'product_type' as tag, 'RACK' || cast(report % 4 as varchar) as value from recent
+    union all select distinct 'serialNumber', cast(report as varchar) from recent where report % 4 = 1""",
+)
+def index_tag_values(spark, sf):
+    """Dashboard variables from the store's index of time spans; the samples are only written."""
+    store = StorePaths(scratch_path(spark, "store"))
+    ingest_lines(spark, _reports(spark, sf), store, 1, report_devices(spark, sf))
+    newest = read_spans(spark, store.samples).agg(F.date_format(F.max("high"), "yyyy-MM-dd HH:mm:ss").alias("at")).first()["at"]
+    products = indexed_tag_values(spark, store.samples, "product_type", "2 days", newest)
+    serials = indexed_tag_values(spark, store.samples, "serialNumber", "2 days", newest, F.col("product_type") == "RACK1")
+    return products.select(F.lit("product_type").alias("tag"), F.col("product_type").alias("value")).unionByName(
+        serials.select(F.lit("serialNumber").alias("tag"), F.col("serialNumber").alias("value"))
+    )

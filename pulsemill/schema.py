@@ -29,7 +29,10 @@ SERIES = ["measurement", *TAGS, "field"]
 POINT = ["measurement", *TAGS, "ts"]
 # A point is overwritten by the later load, then the later line, then the later column.
 WRITE_ORDER = ["ingest_seq", "archive", "block_start", "row_id", "pos"]
-PARTITIONS = ["product_type", "d"]
+# The store's directories. A device's samples of a day lie in one bucket; the number is part of the
+# store's layout and stays as it is.
+PARTITIONS = ["product_type", "d", "bucket"]
+DEVICE_BUCKETS = 8
 
 # Fixed values of the input format (they must equal what the tools that write it use).
 NULL_TOKENS = ["", "n/a", "?", "none", "null"]

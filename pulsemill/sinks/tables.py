@@ -1,4 +1,4 @@
-"""Parquet and text sinks: the sample store, raw reports, names, ledger and point export."""
+"""Parquet and text sinks: raw reports, names, ledger and point export."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 
 from pulsemill.functions.scalars import file_name
 from pulsemill.operators.joins import new_metrics
-from pulsemill.operators.points import resolve_samples
-from pulsemill.schema import PARTITIONS, SAMPLES
 from pulsemill.session import scratch_path
 
 CATALOG = T.StructType(
@@ -21,7 +19,6 @@ CATALOG = T.StructType(
         T.StructField("first_pos", T.IntegerType()),
     ]
 )
-_MAX_LISTED_TYPES = 500
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -34,93 +31,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def read_samples(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, root, SAMPLES).select(*SAMPLES.names)
-
-
-def write_samples(samples: DataFrame, root: str, mode: str = "append") -> None:
-    """Write the store's layout, partitioned by product type and day.
-
-    The rebalance splits a partition that holds much of the data over many tasks and files and
-    merges small ones. Rows are sorted by field, so that a metric predicate skips row groups.
-    """
-    laid_out = (
-        samples.select(*SAMPLES.names)
-        .hint("rebalance", *PARTITIONS)
-        .sortWithinPartitions(*PARTITIONS, "field", "serialNumber", "ts")
-    )
-    writer = laid_out.write.mode(mode).partitionBy(*PARTITIONS)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(root)
-
-
-def upsert_samples(spark: SparkSession, samples: DataFrame, root: str) -> None:
-    """Merge a load into the store, last write wins; repeating a load changes nothing."""
-    merge_samples(spark, resolve_samples(samples.select(*SAMPLES.names)), root)
-
-
-def merge_samples(spark: SparkSession, fresh: DataFrame, root: str, spans: DataFrame | None = None) -> None:
-    """Merge a load that has one value per series and time.
-
-    Partitions in which no device's new time span meets its stored one are only appended to;
-    the others are read, resolved, staged in the shared scratch folder and replaced. ``spans``
-    (see ``time_spans``) saves a pass over the load where the caller knows them already.
-    """
-    if read_samples(spark, root).isEmpty():
-        write_samples(fresh, root)
-        return
-    staged = scratch_path(spark, "merge")
-    if spans is None:
-        fresh = _staged(spark, fresh, f"{staged}/new")
-        spans = time_spans(fresh)
-    spans.write.parquet(f"{staged}/spans")
-    new_spans = spark.read.parquet(f"{staged}/spans")
-    stored = _same_partitions(read_samples(spark, root), new_spans)
-    overlaps(time_spans(stored), new_spans).write.parquet(f"{staged}/overlaps")
-    replaced = spark.read.parquet(f"{staged}/overlaps")
-    if replaced.isEmpty():
-        write_samples(fresh, root)
-        return
-    # One row per partition directory, the list Spark itself keeps of the store.
-    replaced = F.broadcast(replaced)
-    both = stored.join(replaced, PARTITIONS, "left_semi").unionByName(fresh.join(replaced, PARTITIONS, "left_semi"))
-    merged = _staged(spark, resolve_samples(both), f"{staged}/merged")
-    write_samples(fresh.join(replaced, PARTITIONS, "left_anti"), root)
-    write_samples(merged, root, mode="overwrite")
-
-
-def _staged(spark: SparkSession, samples: DataFrame, path: str) -> DataFrame:
-    samples.select(*SAMPLES.names).write.parquet(path)
-    return spark.read.schema(SAMPLES).parquet(path)
-
-
-_DEVICE_DAY = [*PARTITIONS, "measurement", "serialNumber"]
-
-
-def time_spans(rows: DataFrame) -> DataFrame:
-    """First and last time of each device and day."""
-    return rows.groupBy(*_DEVICE_DAY).agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
-
-
-def overlaps(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """Partitions in which the time span of a device's new samples meets that of its stored ones."""
-    new = new.withColumnsRenamed({"low": "new_low", "high": "new_high"})
-    meet = (F.col("new_low") <= F.col("high")) & (F.col("low") <= F.col("new_high"))
-    return stored.join(new, _DEVICE_DAY).filter(meet).select(*PARTITIONS).distinct()
-
-
-def _same_partitions(stored: DataFrame, spans: DataFrame) -> DataFrame:
-    """Cut the store to the days and, if not too many, the product types of a load. These are
-    plain values, so that directories are pruned at planning time."""
-    days = spans.agg(
-        F.min("d").alias("low"), F.max("d").alias("high"), F.count_distinct("product_type").alias("types")
-    ).first()
-    pruned = stored.filter(F.col("d").between(F.lit(days["low"]), F.lit(days["high"])))
-    if 0 < days["types"] <= _MAX_LISTED_TYPES:
-        names = [row["product_type"] for row in spans.select("product_type").distinct().collect()]
-        pruned = pruned.filter(F.col("product_type").isin(names))
-    return pruned
-
-
 def write_bronze(lines: DataFrame, path: str, mode: str = "append") -> None:
     """Keep the raw lines with their place in their report."""
     lines.write.mode(mode).parquet(path)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pulsemill.operators.inventory import newest_first, state_counts
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives
-from pulsemill.sinks.tables import export_reports, read_catalog, read_samples
+from pulsemill.sinks.samples import read_samples
+from pulsemill.sinks.tables import export_reports, read_catalog
 from pulsemill.sources import archives as source
 from pulsemill.sources.archives import archive_inventory, expand_archives, quarantine, report_headers
 from pulsemill.sources.reports import read_parser_log

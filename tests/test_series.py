@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill.operators import series as s
 from pulsemill.plans.panels import SAVED_PANELS, panel_query
 from pulsemill.schema import SAMPLES
-from pulsemill.sinks.tables import read_samples, write_samples
+from pulsemill.sinks.samples import read_samples, write_samples
 
 START = dt.datetime(2025, 10, 1)
 

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_lines
-from pulsemill.sinks.tables import read_samples
+from pulsemill.sinks.samples import read_samples
 from pulsemill.sources.reports import read_wide_reports
 from pulsemill.streaming import streams as st
 
