@@ -2,34 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A hash relation takes several times the plain size, so this stays far below executor memory.
 BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Plain size of a table, summed on the executors: text lengths, 8 bytes per array element
-    and 16 per value."""
+class Side(NamedTuple):
+    """A staged side table and its plain size."""
+
+    table: DataFrame
+    size: int
+
+
+def _plain_bytes(df: DataFrame) -> Column:
+    """Plain size of a row: text lengths, 8 bytes per array element and 16 per value."""
     per_row = F.lit(16 * len(df.columns))
     for f in df.schema.fields:
         column, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
-        if kind == "string":
+        if kind in ("string", "binary"):
             per_row = per_row + F.coalesce(F.octet_length(column), F.lit(0))
         elif kind == "array":
             per_row = per_row + 8 * F.coalesce(F.size(column), F.lit(0))
-    return df.agg(F.sum(per_row.cast("long")).alias("n")).first()["n"] or 0
+    return F.sum(per_row.cast("long"))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(_plain_bytes(df).alias("n")).first()["n"] or 0
+
+
+def stage_side(spark: SparkSession, df: DataFrame, path: str) -> Side:
+    """Write a side table and learn its size while it is written: its plan runs once."""
+    seen = Observation()
+    df.observe(seen, _plain_bytes(df).alias("n")).write.parquet(path)
+    return Side(spark.read.schema(df.schema).parquet(path), seen.get.get("n") or 0)
 
 
-def side_join(left: DataFrame, side: DataFrame, on, how: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def side_join(left: DataFrame, side: DataFrame | Side, on, how: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Join with a side table: broadcast while it fits ``limit``, else shuffled.
 
-    The shuffled form gives the same rows; adaptive skew handling splits hot keys of ``left``.
+    A table that is not staged is run once to be measured. The shuffled form gives the same rows;
+    adaptive skew handling splits hot keys of ``left``.
     """
-    if measured_bytes(side) <= limit:
-        side = F.broadcast(side)
-    return left.join(side, on, how)
+    table, size = side if isinstance(side, Side) else (side, measured_bytes(side))
+    return left.join(F.broadcast(table) if size <= limit else table, on, how)
 
 
 def keep_validated(df: DataFrame, validated: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

@@ -30,8 +30,40 @@ def resolve_samples(samples: DataFrame) -> DataFrame:
 
 
 def claimed_twice(lines: DataFrame) -> DataFrame:
-    """Points (device and time) that more than one line writes to."""
-    return lines.groupBy(*TAGS, "ts").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    """Points (device and time) that more than one line writes to: how many, and whether all have one header."""
+    one = F.min("header_id") == F.max("header_id")
+    return lines.groupBy(*TAGS, "ts").agg(F.count("*").alias("n"), one.alias("one_header")).filter("n > 1")
+
+
+FOLD_WIDTH = 32
+
+
+def fold_lines(lines: DataFrame, keys: list[str], order: list[str], most: int, width: int = FOLD_WIDTH) -> DataFrame:
+    """Merge the lines of each key and header into one: slot by slot, the value of the line that is last in ``order``.
+
+    ``lines`` have ``numbers`` and, as ``n``, how many lines share their key; ``most`` is the largest
+    of these. The result has ``cells``: an array of structs of ``order`` and ``value``, null where no
+    line has a number. Arrays are merged before any value stands alone, about ``width`` at a time; a
+    key that more lines share takes a further round, so no group is ever larger, however hot.
+    """
+    place = [F.col(c).alias(c) for c in order]
+    cells = F.transform("numbers", lambda x: F.when(x.isNotNull(), F.struct(*place, x.alias("value"))))
+    rows = lines.select(*keys, "header_id", "n", F.xxhash64(*order).alias("chunk"), cells.alias("cells"))
+    merge = F.aggregate(
+        F.slice("all", 2, F.greatest(F.size("all"), F.lit(2)) - 1),
+        F.element_at("all", 1),
+        lambda done, more: F.zip_with(done, more, lambda a, b: F.greatest(a, b)),
+    )
+    while True:
+        chunks = F.ceil(F.col("n") / width)
+        # One round is enough where no key has more lines than a chunk.
+        chunk = F.lit(0) if most <= width else F.pmod(F.xxhash64("chunk", F.lit(most)), chunks)
+        rows = rows.withColumns({"chunk": chunk.cast("bigint"), "n": chunks.cast("bigint")})
+        rows = rows.groupBy(*keys, "header_id", "chunk").agg(F.first("n").alias("n"), F.collect_list("cells").alias("all"))
+        rows = rows.withColumn("cells", merge).drop("all")
+        if most <= width:
+            return rows.drop("chunk", "n")
+        most = -(-most // width)
 
 
 def shared_fields(columns: DataFrame) -> DataFrame:
@@ -48,6 +80,15 @@ def union_samples(*loads: DataFrame) -> DataFrame:
     return resolve_samples(reduce(lambda a, b: a.unionByName(b), loads))
 
 
+def resolve_lines(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One line per key and header: of each slot the last value. The result of ``fold_lines`` without a known ``n``."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    most = counted.agg(F.max("n")).first()[0] or 0
+    if most <= FOLD_WIDTH:
+        return fold_lines(rows.withColumn("n", F.lit(most).cast("bigint")), keys, order, most)
+    return fold_lines(rows.join(counted, keys), keys, order, most)
+
+
 def assemble_points(samples: DataFrame) -> DataFrame:
     """One row per point with all its fields. A group is one report line: resolve first."""
     entries = F.array_sort(F.collect_list(F.struct("field", "value")))

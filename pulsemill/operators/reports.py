@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.scalars import (
@@ -27,7 +27,7 @@ from pulsemill.functions.scalars import (
     strip,
     to_number,
 )
-from pulsemill.operators.joins import BROADCAST_LIMIT, side_join
+from pulsemill.operators.joins import BROADCAST_LIMIT, Side, measured_bytes, side_join, stage_side
 from pulsemill.schema import CATEGORY_RULES
 from pulsemill.session import scratch_path
 
@@ -37,12 +37,17 @@ LINE_KEY = ["archive", "block_start", "row_id"]
 class Headers(NamedTuple):
     """``archives``: every archive, with or without a header. ``files``: archive, header_id, width.
     ``layouts``: header_id and the positions of its wanted columns. ``columns``: header_id, slot
-    (place among the wanted), pos, metric, field."""
+    (place among the wanted), pos, metric, field; ``side`` is the same with its size."""
 
     archives: DataFrame
-    files: DataFrame
-    layouts: DataFrame
+    files: Side
+    layouts: Side
     columns: DataFrame
+    columns_size: int
+
+    @property
+    def side(self) -> Side:
+        return Side(self.columns, self.columns_size)
 
 
 def _header(line: Column) -> Column:
@@ -80,42 +85,37 @@ def read_headers(
         first_lines = header_lines(lines)
     else:
         first_lines = first_lines.select("archive", _header(F.col("header")).alias("header"))
-    first_lines.write.parquet(f"{path}/headers")
-    archives = spark.read.parquet(f"{path}/headers")
-    headers = archives.filter("header IS NOT NULL")
-    seed = _collision_free_seed(headers)
-    headers = headers.withColumn("header_id", F.xxhash64("header", F.lit(seed)))
+    # 128 bits of a hash tell headers apart.
+    header_id = F.unhex(F.substring(F.sha2("header", 256), 1, 32))
+    width = F.size(split_line(F.col("header")))
+    files = first_lines.select("archive", header_id.alias("header_id"), F.when(F.col("header").isNotNull(), width).alias("width"), "header")
+    files.write.parquet(f"{path}/lines")
+    first = spark.read.schema(files.schema).parquet(f"{path}/lines")
     columns = (
-        headers.groupBy("header_id")
+        first.filter("header IS NOT NULL")
+        .groupBy("header_id")
         .agg(F.first("header").alias("header"))
         .select("header_id", F.posexplode(normalise_header(F.col("header"))).alias("pos", "metric"))
         .filter("pos > 0")
         .withColumn("field", sanitize_field(F.col("metric")))
     )
     # A group is one header, so a list is never longer than a line.
-    wanted = F.array_sort(F.collect_list(F.struct("pos", "metric", "field"))).alias("wanted")
-    select(columns).groupBy("header_id").agg(wanted).write.parquet(f"{path}/wanted")
-    layouts = spark.read.parquet(f"{path}/wanted")
+    wanted = select(columns).groupBy("header_id").agg(F.array_sort(F.collect_list(F.struct("pos", "metric", "field"))).alias("wanted"))
+    names = F.aggregate("wanted", F.lit(0).cast("bigint"), lambda n, c: n + F.octet_length(c["metric"]) + F.octet_length(c["field"]))
+    seen = Observation()
+    wanted = wanted.observe(seen, F.sum(48 + 8 * F.size("wanted")).alias("layouts"), F.sum(80 * F.size("wanted") + names).alias("columns"))
+    wanted.write.parquet(f"{path}/wanted")
+    layouts = spark.read.schema(wanted.schema).parquet(f"{path}/wanted")
+    sizes = {name: seen.get.get(name) or 0 for name in ("layouts", "columns")}
     return Headers(
-        archives.select("archive"),
-        headers.select("archive", "header_id", F.size(split_line(F.col("header"))).alias("width")),
-        layouts.select("header_id", F.col("wanted.pos").alias("positions")),
-        layouts.select("header_id", F.posexplode("wanted").alias("slot", "column")).select(
-            "header_id", "slot", "column.*"
-        ),
+        first.select("archive"),
+        stage_side(spark, first.select("archive", "header_id", "width"), f"{path}/files"),
+        Side(layouts.select("header_id", F.col("wanted.pos").alias("positions")), sizes["layouts"]),
+        layouts.select("header_id", F.posexplode("wanted").alias("slot", "column")).select("header_id", "slot", "column.*"),
+        sizes["columns"],
     )
 
 
-def _collision_free_seed(headers: DataFrame) -> int:
-    """A seed for which equal 64-bit ids mean equal headers (the first one, nearly always)."""
-    for seed in range(8):
-        ids = F.count_distinct(F.xxhash64("header", F.lit(seed)))
-        row = headers.agg(ids.alias("ids"), F.count_distinct(F.sha2("header", 256)).alias("n")).first()
-        if row["ids"] == row["n"]:
-            return seed
-    raise RuntimeError("no collision-free header ids found")
-
-
 def attach_header(lines: DataFrame, headers: Headers, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Give each non-blank line its header_id, header width and wanted positions (all null if
     the file has no header)."""
@@ -158,30 +158,109 @@ def read_numbers(parsed: DataFrame) -> DataFrame:
     return counted.drop("cells", "positions")
 
 
-_LINE_ONLY = ("cells", "positions", "numbers", "width", "arity_ok", "n_null", "n_text")
+_LINE_ONLY = ("cells", "positions", "numbers", "width", "arity_ok", "n_null", "n_text", "member")
+
 
+def melt(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """One row per number, named by its header column.
 
-def melt(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """One row per number, named by its header column."""
+    Past the limit of a broadcast, lines and not values are shuffled to their header's columns.
+    """
     keep = [c for c in rows.columns if c not in _LINE_ONLY]
-    values = rows.select(*keep, F.posexplode("numbers").alias("slot", "value")).filter("value IS NOT NULL")
-    return side_join(values, columns, ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
+    table, size = columns if isinstance(columns, Side) else (columns, measured_bytes(columns))
+    if size <= limit:
+        values = rows.select(*keep, F.posexplode("numbers").alias("slot", "value")).filter("value IS NOT NULL")
+        return side_join(values, Side(table, size), ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
+    # A group is one header, so a list is never longer than a line.
+    listed = F.collect_list(F.struct("slot", "pos", "metric", "field")).alias("columns")
+    headers = table.groupBy("header_id").agg(listed)
+    named = _salted(rows, headers).select(
+        *[c for c in keep if c != "header_id"],
+        F.explode(F.transform("columns", lambda c: F.struct(F.get("numbers", c["slot"]).alias("value"), c.alias("column")))).alias("cell"),
+    )
+    kept = named.filter("cell.value IS NOT NULL")
+    return kept.select(*[c for c in keep if c != "header_id"], "cell.value", "cell.column.pos", "cell.column.metric", "cell.column.field")
+
+
+def _salted(lines: DataFrame, headers: DataFrame, salts: int = 8) -> DataFrame:
+    """Join lines with their header by shuffling both; the lines of one header go to ``salts`` tasks."""
+    own = [c for c in LINE_KEY if c in lines.columns] or ["numbers"]
+    dealt = lines.withColumn("salt", F.pmod(F.xxhash64(*own), F.lit(salts)).cast("int"))
+    copies = headers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, ["header_id", "salt"]).drop("salt")
+
+
+def header_fields(columns: DataFrame) -> DataFrame:
+    """One row per header: its fields, each with the columns that write to it."""
+    writers = F.collect_list(F.struct("slot", "pos", "metric")).alias("writers")
+    fields = columns.groupBy("header_id", "field").agg(writers)
+    return fields.groupBy("header_id").agg(F.collect_list(F.struct("field", "writers")).alias("fields"))
+
+
+def _line_fields(lines: DataFrame, columns: DataFrame | Side, order: list[str], limit: int) -> DataFrame:
+    """Lines with ``fields``: of the columns that write to a field, the last that has a number."""
+    source = "cells" if order else "numbers"
+
+    def written(writer: Column) -> Column:
+        cell = F.get(source, writer["slot"])
+        value = cell["value"] if order else cell
+        return F.when(
+            cell.isNotNull(),
+            F.struct(*[cell[c].alias(c) for c in order], writer["pos"].alias("pos"), value.alias("value"), writer["metric"].alias("metric")),
+        )
+
+    table, size = columns if isinstance(columns, Side) else (columns, measured_bytes(columns))
+    headers = header_fields(table)
+    joined = lines.join(F.broadcast(headers), "header_id") if size <= limit else _salted(lines, headers)
+    last = F.transform("fields", lambda f: F.struct(f["field"].alias("field"), F.array_max(F.transform(f["writers"], written)).alias("last")))
+    return joined.withColumn("fields", F.filter(last, lambda f: f["last"].isNotNull()))
+
+
+def melt_fields(
+    lines: DataFrame, columns: DataFrame | Side, order: list[str] | None = None, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """One row per field of each line: of the columns that write to it, the last that has a number.
+
+    Lines come with ``numbers``, or from ``fold_lines`` with ``cells``, whose ``order`` then comes
+    first and is given out. Everything happens inside a line; no value is compared across rows.
+    """
+    keep = [c for c in lines.columns if c not in (*_LINE_ONLY, "header_id")]
+    named = _line_fields(lines, columns, order or [], limit).select(*keep, F.explode("fields").alias("of"))
+    return named.select(*keep, "of.field", "of.last.*")
 
 
-def melt_raw(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def assemble_lines(
+    lines: DataFrame, columns: DataFrame | Side, order: list[str] | None = None, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """Lines, each the only one of its point, with ``fields`` as a map: points without a detour through single values."""
+    keep = [c for c in lines.columns if c not in (*_LINE_ONLY, "header_id")]
+    entries = F.transform("fields", lambda f: F.struct(f["field"], f["last"]["value"]))
+    named = _line_fields(lines, columns, order or [], limit)
+    return named.select(*keep, F.map_from_entries(F.array_sort(entries)).alias("fields"))
+
+
+def melt_raw(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """One row per cell with its text, for profiling what a column holds."""
     keep = [c for c in rows.columns if c not in _LINE_ONLY]
     cells = rows.select(*keep, F.posexplode("cells").alias("pos", "raw")).filter("pos > 0")
     return side_join(cells, columns, ["header_id", "pos"], "inner", limit).drop("header_id", "slot")
 
 
-def numeric_columns(rows: DataFrame, columns: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def numeric_columns(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Columns of each archive that gave a number. Counted by slot, named afterwards."""
     cells = rows.select("archive", "header_id", F.posexplode("numbers").alias("slot", "value"))
     found = cells.filter("value IS NOT NULL").groupBy("archive", "header_id", "slot").agg(F.count("*").alias("n"))
     return side_join(found, columns, ["header_id", "slot"], "inner", limit).drop("header_id", "slot")
 
 
+def _policies(policy: list[str] | tuple[str, ...]) -> set[str]:
+    return {p.strip().lower() for p in policy if p.strip()}
+
+
+def skips_zero(policy: list[str] | tuple[str, ...]) -> bool:
+    return "skip_zero" in _policies(policy)
+
+
 def gives_value(skip_zero: bool = False) -> Column:
     """Whether a line's array holds a number that the value filter keeps."""
     return F.coalesce(F.exists("numbers", lambda x: x.isNotNull() & ((x != 0) | F.lit(not skip_zero))), F.lit(False))
@@ -190,7 +269,7 @@ def gives_value(skip_zero: bool = False) -> Column:
 def value_filter(df: DataFrame, policy: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """``skip_zero`` drops zeros; ``skip_empty`` and ``skip_none`` are accepted, since
     cells that are not numbers never get this far."""
-    names = {p.strip().lower() for p in policy if p.strip()}
+    names = _policies(policy)
     unknown = names - {"skip_zero", "skip_empty", "skip_none"}
     if unknown:
         raise ValueError(f"unknown value filter: {sorted(unknown)}")
@@ -258,7 +337,7 @@ def ingest_counters(rows: DataFrame, policy: list[str] | tuple[str, ...] = ()) -
     Counting happens inside each line's array, so the only shuffle is one small row per
     archive and task. The header line is not a data line and is taken off again.
     """
-    skip_zero = "skip_zero" in {p.strip().lower() for p in policy}
+    skip_zero = skips_zero(policy)
     numeric = F.coalesce(F.size(F.array_compact("numbers")), F.lit(0))
     zeros = F.coalesce(F.size(F.filter("numbers", lambda x: x == 0)), F.lit(0))
     per_line = rows.select(

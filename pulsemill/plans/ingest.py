@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pulsemill.operators import reports as r
 from pulsemill.operators.catalog import seen_metrics
 from pulsemill.operators.inventory import run_ledger
-from pulsemill.operators.joins import keep_validated, side_join, with_device_tags, with_tags
-from pulsemill.operators.points import claimed_twice, resolve_samples, shared_fields
+from pulsemill.operators.joins import Side, keep_validated, side_join, stage_side, with_device_tags, with_tags
+from pulsemill.operators.points import claimed_twice, fold_lines, resolve_samples, shared_fields
 from pulsemill.schema import DEFAULT_MEASUREMENT, DEFAULT_PRODUCT_TYPE, DEFAULT_SERIAL, SAMPLES, TAGS
 from pulsemill.session import scratch_path
 from pulsemill.sinks import samples as sample_store
@@ -80,31 +80,41 @@ def to_samples(values: DataFrame, options: IngestOptions, ingest_seq: int) -> Da
 
 
 def resolved_samples(
-    spark: SparkSession, rows: DataFrame, columns: DataFrame, options: IngestOptions, ingest_seq: int
+    spark: SparkSession, rows: DataFrame, columns: DataFrame | Side, options: IngestOptions, ingest_seq: int
 ) -> DataFrame:
     """Samples of tagged lines, one per series and time.
 
     Two values can only meet if two lines claim the same device and time, or two columns of a
     header share a field. Both are found on lines and headers, of which there are thousands of
-    times fewer than values. All other values are unique and are never sorted or shuffled here.
+    times fewer than values, and settled on lines too: columns that share a field inside their
+    line, lines of one header as arrays, slot by slot. Only points that lines of different headers
+    claim are settled value by value, after the lines of each header are one.
     """
-
-    def samples(lines: DataFrame, chosen: DataFrame) -> DataFrame:
-        return to_samples(r.melt(lines, chosen), options, ingest_seq)
-
-    path = scratch_path(spark, "claims")
-    claimed_twice(rows.filter("arity_ok AND ts IS NOT NULL")).write.parquet(path)
-    claims, key = spark.read.parquet(path), [*TAGS, "ts"]
-    shared, column = shared_fields(columns), ["header_id", "field"]
-
-    lone_lines, lone_columns, parts = rows, columns, []
-    if not claims.isEmpty():
-        lone_lines = side_join(rows, claims, key, "left_anti")
-        parts.append(resolve_samples(samples(side_join(rows, claims, key, "left_semi"), columns)))
-    if not shared.isEmpty():
-        lone_columns = side_join(columns, shared, column, "left_anti")
-        parts.append(resolve_samples(samples(lone_lines, side_join(columns, shared, column, "left_semi"))))
-    return reduce(DataFrame.unionByName, parts, samples(lone_lines, lone_columns))
+    path = scratch_path(spark, "contested")
+    usable = rows.filter("arity_ok AND ts IS NOT NULL")
+    if r.skips_zero(options.policy):  # a zero that is skipped overwrites nothing
+        usable = usable.withColumn("numbers", F.transform("numbers", lambda x: F.when(x != 0, x)))
+    table = columns.table if isinstance(columns, Side) else columns
+    claims, key = stage_side(spark, claimed_twice(usable), f"{path}/claims"), [*TAGS, "ts"]
+    shared, column = stage_side(spark, shared_fields(table), f"{path}/fields"), ["header_id", "field"]
+
+    def samples(values: DataFrame) -> DataFrame:
+        return to_samples(values, options, ingest_seq)
+
+    lone = side_join(usable, claims, key, "left_anti") if claims.size else usable
+    if shared.size:
+        plain = side_join(table, shared, column, "left_anti")
+        parts = [samples(r.melt(lone, plain)), samples(r.melt_fields(lone, side_join(table, shared, column, "left_semi")))]
+    else:
+        parts = [samples(r.melt(lone, columns))]
+    if claims.size:
+        most, alike = claims.table.agg(F.max("n"), F.bool_and("one_header")).first()
+        folded = fold_lines(side_join(usable, claims, key, "inner"), [*key, "one_header"], r.LINE_KEY, most)
+        values = r.melt_fields(folded, columns, r.LINE_KEY)
+        parts.append(samples(values.filter("one_header")))
+        if not alike:
+            parts.append(resolve_samples(samples(values.filter("NOT one_header"))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ingest_lines(
@@ -128,11 +138,11 @@ def ingest_lines(
     read_lines(lines, headers).write.parquet(staged)
     rows = spark.read.parquet(staged)
     tagged = tag_rows(rows, options)
-    samples = resolved_samples(spark, tagged, headers.columns, options, ingest_seq)
-    usable = tagged.filter("arity_ok AND ts IS NOT NULL").filter(r.gives_value("skip_zero" in options.policy))
+    samples = resolved_samples(spark, tagged, headers.side, options, ingest_seq)
+    usable = tagged.filter("arity_ok AND ts IS NOT NULL").filter(r.gives_value(r.skips_zero(options.policy)))
     dated = usable.withColumns({"d": F.to_date("ts"), "measurement": F.lit(options.measurement)})
     sample_store.merge_samples(spark, samples, store.samples, sample_store.time_spans(dated))
-    seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
+    seen = r.numeric_columns(rows, headers.side).withColumn("ingest_seq", F.lit(ingest_seq).cast("long"))
     tables.append_catalog(spark, seen_metrics(seen), store.catalog)
     given = headers.archives if listed is None else headers.archives.unionByName(listed.select("archive"))
     ledger = run_ledger(r.ingest_counters(rows, options.policy), ingest_seq, failed, given)

@@ -44,7 +44,7 @@ def expand(spark, sf):
     expanded = spark.read.parquet(path)
     good, _ = quarantine(expanded)
     headers = r.read_headers(spark, good, first_lines=report_headers(expanded))
-    values = r.melt(read_lines(good, headers), headers.columns)
+    values = r.melt(read_lines(good, headers), headers.side)
     named = values.select(views.report_number(F.col("archive")).alias("report"), "ts", "metric", "value")
     return named.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -39,7 +39,7 @@ def skip_zero(spark, sf):
     'select product_type, "serialNumber", ts, field, value from wide_samples',
 )
 def last_write_wins(spark, sf):
-    return views.wide_samples(spark, sf, r.melt).drop("measurement")
+    return views.wide_samples(spark, sf).drop("measurement")
 
 
 @query(
@@ -68,7 +68,7 @@ def sanitize_collision(spark, sf):
     from wide_samples group by all""",
 )
 def assemble_points(spark, sf):
-    points = p.assemble_points(views.wide_samples(spark, sf, r.melt))
+    points = views.wide_points(spark, sf)
     text = F.transform(
         F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), p.number_text(e["value"]))
     )
@@ -77,7 +77,7 @@ def assemble_points(spark, sf):
 
 @query("q_points_roundtrip", 'select measurement, product_type, "serialNumber", ts, field, value from wide_samples')
 def points_roundtrip(spark, sf):
-    return p.explode_points(p.assemble_points(views.wide_samples(spark, sf, r.melt)))
+    return p.explode_points(p.assemble_points(views.wide_samples(spark, sf)))
 
 
 @query(
@@ -89,7 +89,7 @@ def points_roundtrip(spark, sf):
 )
 def line_protocol(spark, sf):
     path = scratch_path(spark, "points")
-    tables.write_line_protocol(p.to_line_protocol(p.assemble_points(views.wide_samples(spark, sf, r.melt))), path)
+    tables.write_line_protocol(p.to_line_protocol(views.wide_points(spark, sf)), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -136,7 +136,7 @@ def _reports(spark, sf):
 def header_join(spark, sf):
     lines = _reports(spark, sf)
     headers = r.read_headers(spark, lines)
-    values = r.melt(read_lines(lines, headers), headers.columns)
+    values = r.melt(read_lines(lines, headers), headers.side)
     named = values.select(views.report_number(F.col("archive")).alias("report"), "ts", "metric", "value")
     return _ntz(named, "ts")
 
@@ -150,7 +150,7 @@ def parse_report(spark, sf):
     lines = _reports(spark, sf)
     headers = r.read_headers(spark, lines, r.category_filter)
     rows = r.check_ts(r.check_arity(read_lines(lines, headers)))
-    values = r.value_filter(r.melt(rows, headers.columns), ["skip_zero"])
+    values = r.value_filter(r.melt(rows, headers.side), ["skip_zero"])
     named = values.select(
         views.report_number(F.col("archive")).alias("report"), "ts", "metric", "field", "pos", "value"
     )
@@ -201,7 +201,7 @@ def metric_profile(spark, sf):
     lines = _reports(spark, sf)
     headers = r.read_headers(spark, lines)
     rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers))))
-    return _ntz(r.metric_profile(r.melt_raw(rows, headers.columns)), "min_ts", "max_ts")
+    return _ntz(r.metric_profile(r.melt_raw(rows, headers.side)), "min_ts", "max_ts")
 
 
 @query(
@@ -258,7 +258,7 @@ def store_catalog(spark, sf):
     rows = read_lines(lines, headers)
     path = scratch_path(spark, "catalog")
     for load in (1, 2):
-        seen = r.numeric_columns(rows, headers.columns).withColumn("ingest_seq", F.lit(load).cast("long"))
+        seen = r.numeric_columns(rows, headers.side).withColumn("ingest_seq", F.lit(load).cast("long"))
         tables.append_catalog(spark, seen_metrics(seen), path)
     return tables.read_catalog(spark, path).select(
         "metric", "first_seq", views.report_number(F.col("first_archive")).alias("report"), "first_pos"

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.functions.scalars import sanitize_field
-from pulsemill.operators.points import last_write_wins
+from pulsemill.operators.points import resolve_lines
+from pulsemill.operators.reports import assemble_lines, melt_fields
 from pulsemill.schema import DEFAULT_MEASUREMENT
 from pulsemill.session import apply_settings, scratch_path
 
@@ -128,17 +129,28 @@ def header_columns(spark: SparkSession, metrics: list[str], header_id: int = 1)
     return columns.withColumn("field", sanitize_field(F.col("metric")))
 
 
-def wide_samples(spark: SparkSession, sf_dir: str, melt) -> DataFrame:
-    """lineitem in long form, one value per (flag, status, ship date, field)."""
-    rows, columns = wide_rows(spark, sf_dir)
-    long = melt(rows, columns).drop("metric", "pos")
-    resolved = last_write_wins(long, ["l_returnflag", "l_linestatus", "ts", "field"], WIDE_ORDER)
-    return resolved.select(
+_WIDE_KEY = ["l_returnflag", "l_linestatus", "ts"]
+
+
+def _wide_tags(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(
         F.lit("line item").alias("measurement"),
         F.col("l_returnflag").alias("product_type"),
         F.col("l_linestatus").alias("serialNumber"),
-        "ts", "field", "value",
-    )
+        "ts", *columns,
+    )
+
+
+def wide_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem in long form, one value per (flag, status, ship date, field)."""
+    rows, columns = wide_rows(spark, sf_dir)
+    return _wide_tags(melt_fields(resolve_lines(rows, _WIDE_KEY, WIDE_ORDER), columns, WIDE_ORDER), "field", "value")
+
+
+def wide_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as points: one row per (flag, status, ship date) with its fields."""
+    rows, columns = wide_rows(spark, sf_dir)
+    return _wide_tags(assemble_lines(resolve_lines(rows, _WIDE_KEY, WIDE_ORDER), columns, WIDE_ORDER), "fields")
 
 
 # --- report files -------------------------------------------------------------------------

@@ -105,7 +105,8 @@ def merge_samples(spark: SparkSession, fresh: DataFrame, root: str, spans: DataF
     pending = f"{_pending(root)}/{uuid.uuid4().hex}"
     resolve_samples(both.select(*SAMPLES.names)).write.parquet(pending)
     _replace(spark, pending, root)
-    write_samples(keyed.join(met, PARTITIONS, "left_anti"), root)
+    if not new.join(met, PARTITIONS, "left_anti").isEmpty():
+        write_samples(keyed.join(met, PARTITIONS, "left_anti"), root)
 
 
 def _staged(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType) -> DataFrame:

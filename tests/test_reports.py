@@ -222,3 +222,22 @@ def test_melt_and_assemble_agree_with_a_plain_reader(spark, tmp_path_factory, ta
     assert set(triples(resolved)) == expected
     assert set(triples(explode_points(assemble_points(resolved)))) == expected
     assert assemble_points(resolved).select(*POINT).distinct().count() == len({t for t, _, _ in expected})
+
+
+def test_past_the_broadcast_limit_lines_are_shuffled_and_not_values(spark, tmp_path, plan_of):
+    """One header has nearly all lines: they are dealt over several tasks, and exploded after the join."""
+    (tmp_path / "a.csv").write_text("Time,a.b,a-b,c\n" + "".join(f"2025-10-09 12:{i // 60:02d}:{i % 60:02d},{i},,x\n" for i in range(900)))
+    (tmp_path / "b.csv").write_text("Time,c\n2025-10-09 12:00:00,5\n")
+    lines = read_wide_reports(spark, str(tmp_path), "*.csv")
+    headers = r.read_headers(spark, lines)
+    read_lines(lines, headers).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    far, near = r.melt(rows, headers.columns, limit=0), r.melt(rows, headers.columns)
+    assert sorted(map(str, far.select(sorted(near.columns)).collect())) == sorted(map(str, near.select(sorted(near.columns)).collect()))
+    plan = plan_of(far)
+    assert "BroadcastHashJoin" not in plan
+    assert "Exchange" not in plan[: plan.index("Generate")] and plan.index("Generate") < plan.index("SortMergeJoin")
+    dealt = r._salted(rows, headers.columns.groupBy("header_id").agg(F.count("*").alias("n")))
+    assert dealt.select(F.pmod(F.xxhash64(*r.LINE_KEY), F.lit(8))).distinct().count() == 8
+    settled = r.melt_fields(rows.filter("numbers IS NOT NULL"), headers.columns, limit=0)
+    assert sorted(map(str, settled.collect())) == sorted(map(str, r.melt_fields(rows.filter("numbers IS NOT NULL"), headers.columns).collect()))
