@@ -9,6 +9,7 @@ from pulsemill.registered import views
 from pulsemill.registered.registry import query
 from pulsemill.registered.reports import STORED_SQL, report_devices, stored
 from pulsemill.session import apply_settings, scratch_path
+from pulsemill.sinks.keyed import read_keyed
 from pulsemill.streaming import streams as st
 
 
@@ -25,16 +26,40 @@ def _run(spark, stream, label):
     return spark.read.parquet(path)
 
 
+def _kept(spark, stream, keys, time, label):
+    """A stream's updates merged into a table, and the table."""
+    root = scratch_path(spark, label)
+    st.keep_updated(stream, root, keys, time, scratch_path(spark, f"{label}-checkpoint"))
+    return read_keyed(spark, root, stream.schema)
+
+
 @query(
     "q_stream_window",
-    """+ windows as (select event_type, date_trunc('hour', ts) + interval 1 hour as t, round(avg(value) + 1e-9, 6) as value
-      from events group by all)
-    select event_type, t, value from windows where t <= (select max(ts) from events) - interval 2 hours""",
+    """select event_type, date_trunc('hour', ts) + interval 1 hour as t, round(avg(value) + 1e-9, 6) as value
+      from events group by all""",
 )
 def stream_window(spark, sf):
     means = st.stream_window(_event_stream(spark, sf), "1 hour", "2 hours", ["event_type"])
-    final = _run(spark, means, "windows")
-    return final.select("event_type", F.col("t").cast("timestamp_ntz").alias("t"), F.round(F.col("value") + 1e-9, 6).alias("value"))
+    windows = _kept(spark, means, ["event_type", "t"], "t", "windows")
+    return windows.select("event_type", F.col("t").cast("timestamp_ntz").alias("t"), F.round(F.col("value") + 1e-9, 6).alias("value"))
+
+
+@query(
+    "q_stream_latest",
+    """+ loads as (
+      select user_id, event_type, ts, value, event_id, 1 as seq from events
+      union all select user_id, event_type, ts, value + 1, event_id, 2 from events where value > 20)
+    select user_id, event_type, ts, cast(seq as bigint) as seq, value from loads
+    qualify row_number() over (partition by user_id, event_type, ts order by seq desc, event_id desc) = 1""",
+)
+def stream_latest(spark, sf):
+    """A stream of samples and one of corrections, in any order of arrival."""
+    first = _event_stream(spark, sf).withColumn("seq", F.lit(1).cast("bigint"))
+    corrected = _event_stream(spark, sf).filter("value > 20").withColumns({"seq": F.lit(2).cast("bigint"), "value": F.col("value") + 1})
+    samples = corrected.unionByName(first).select("user_id", "event_type", "ts", "seq", "event_id", "value")
+    newest = st.stream_latest(samples, "1 hour", ["user_id", "event_type"], ["seq", "event_id"])
+    latest = _kept(spark, newest, ["user_id", "event_type", "ts"], "ts", "latest")
+    return latest.select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "seq", "value")
 
 
 @query("q_stream_dedup", "select event_id, event_type, ts, value from events")

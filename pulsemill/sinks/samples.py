@@ -4,17 +4,13 @@
 device, day and load, the first and last time the load wrote. A load learns from the index alone
 which directories it may have to merge with; no sample is read for that.
 
-The index is written before the samples, so it may say more than the store holds, never less. A
-replacement is staged below ``root-pending`` first. If the process dies at any point, the next load
-finishes a staged replacement (or drops one that was not staged to its end), and a load that is
-repeated meets itself in the index and is merged. One load writes to a store at a time.
+The index is written before the samples, so it may say more than the store holds, never less. If the
+process dies at any point, the next load finishes a replacement under way (see ``replacement``), and
+a load that is repeated meets itself in the index and is merged. One load writes to a store at a time.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +20,7 @@ from pulsemill.operators.points import resolve_samples
 from pulsemill.operators.series import since
 from pulsemill.schema import DEVICE_BUCKETS, PARTITIONS, SAMPLES
 from pulsemill.session import scratch_path
+from pulsemill.sinks.replacement import recover, replace
 from pulsemill.sinks.tables import read_table
 
 STORED = T.StructType([*SAMPLES.fields, T.StructField("bucket", T.IntegerType())])
@@ -102,9 +99,7 @@ def merge_samples(spark: SparkSession, fresh: DataFrame, root: str, spans: DataF
     keyed = fresh.withColumn("bucket", device_bucket())
     stored = read_table(spark, root, STORED).join(met, PARTITIONS, "left_semi")
     both = stored.unionByName(keyed.join(met, PARTITIONS, "left_semi"))
-    pending = f"{_pending(root)}/{uuid.uuid4().hex}"
-    resolve_samples(both.select(*SAMPLES.names)).write.parquet(pending)
-    _replace(spark, pending, root)
+    replace(spark, resolve_samples(both.select(*SAMPLES.names)), root, _overwrite)
     if not new.join(met, PARTITIONS, "left_anti").isEmpty():
         write_samples(keyed.join(met, PARTITIONS, "left_anti"), root)
 
@@ -114,41 +109,13 @@ def _staged(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType)
     return spark.read.schema(schema).parquet(path)
 
 
-# --- replacement --------------------------------------------------------------------------
-
-
-def _pending(root: str) -> str:
-    return f"{root.rstrip('/')}-pending"
-
-
-def _replace(spark: SparkSession, pending: str, root: str) -> None:
-    """Replace directories by their staged rows. Doing it again gives the same."""
-    write_samples(spark.read.schema(SAMPLES).parquet(pending), root, mode="overwrite")
-    files, path = _files(spark, pending)
-    files.delete(path, True)
+def _overwrite(samples: DataFrame, root: str) -> None:
+    write_samples(samples, root, mode="overwrite")
 
 
 def recover_samples(spark: SparkSession, root: str) -> None:
-    """Finish replacements that an earlier process staged and did not see through."""
-    for pending in list(_unfinished(spark, root)):
-        files, done = _files(spark, f"{pending}/_SUCCESS")
-        if files.exists(done):
-            _replace(spark, pending, root)
-        else:
-            files.delete(done.getParent(), True)
-
-
-def _unfinished(spark: SparkSession, root: str) -> Iterator[str]:
-    files, path = _files(spark, _pending(root))
-    if files.exists(path):
-        for status in files.listStatus(path):
-            yield status.getPath().toString()
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, as Spark sees it."""
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+    """Finish a replacement that an earlier process staged and did not see through."""
+    recover(spark, SAMPLES, root, _overwrite)
 
 
 # --- the index ----------------------------------------------------------------------------

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pulsemill.operators.points import last_write_wins
 from pulsemill.operators.series import aggregate_window
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_archives, ingest_lines
+from pulsemill.sinks.keyed import merge_keyed
 from pulsemill.sources.archives import stream_archives
 from pulsemill.sources.reports import with_line_position
 
@@ -53,10 +55,42 @@ def ingest_available(
 
 
 def stream_window(samples: DataFrame, every: str, lateness: str, series: list[str]) -> DataFrame:
-    """Windowed means of a stream; a window is final once ``lateness`` has passed its end."""
+    """Windowed means of a stream; a window is final once ``lateness`` has passed its end.
+
+    In append mode only final windows come out; ``keep_updated`` also keeps the current ones.
+    """
     return aggregate_window(samples.withWatermark("ts", lateness), every, series)
 
 
+def stream_latest(samples: DataFrame, lateness: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The newest version of each key and time, as ``last_write_wins`` gives it for a batch.
+
+    A streaming aggregate keeps one version for each key and forgets it once ``lateness`` has
+    passed its time. In update mode a key comes out again whenever a newer version has come.
+    """
+    return last_write_wins(samples.withWatermark("ts", lateness), [*keys, "ts"], order)
+
+
+def keep_updated(
+    stream: DataFrame, root: str, keys: list[str], time: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Merge a stream's updates into a table with one row per key, open windows included.
+
+    With ``every`` the table is refreshed at that interval until the returned query is stopped;
+    without, over what is there, once. Read the table with ``read_keyed``.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        merge_keyed(batch.sparkSession, batch, root, keys, time, batch_id)
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint)
+    if every is not None:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def stream_dedup(samples: DataFrame, lateness: str, keys: list[str]) -> DataFrame:
     """First arrival of each key; repeats within ``lateness`` are dropped."""
     return samples.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(keys)
