@@ -239,13 +239,6 @@ def assemble_lines(
     return named.select(*keep, F.map_from_entries(F.array_sort(entries)).alias("fields"))
 
 
-def melt_raw(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """One row per cell with its text, for profiling what a column holds."""
-    keep = [c for c in rows.columns if c not in _LINE_ONLY]
-    cells = rows.select(*keep, F.posexplode("cells").alias("pos", "raw")).filter("pos > 0")
-    return side_join(cells, columns, ["header_id", "pos"], "inner", limit).drop("header_id", "slot")
-
-
 def numeric_columns(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Columns of each archive that gave a number. Counted by slot, named afterwards."""
     cells = rows.select("archive", "header_id", F.posexplode("numbers").alias("slot", "value"))
@@ -307,6 +300,12 @@ def category_stats(names: DataFrame, enabled: dict[str, bool] | None = None) ->
     return rejected.groupBy(category(F.col("metric")).alias("category")).agg(F.count("*").alias("removed"))
 
 
+def category_totals(names: DataFrame, enabled: dict[str, bool] | None = None) -> DataFrame:
+    """Metrics before and after the category filter."""
+    rejected = F.count_if(is_rejected(F.col("metric"), enabled))
+    return names.agg(F.count("*").alias("before"), rejected.alias("removed"), (F.count("*") - rejected).alias("after"))
+
+
 def cell_kind(raw: Column) -> Column:
     """'number', 'null' or 'text'."""
     return (
@@ -314,21 +313,44 @@ def cell_kind(raw: Column) -> Column:
     )
 
 
-def metric_profile(cells: DataFrame) -> DataFrame:
-    """What each metric holds, and whether it ever gives a number."""
-    typed = cells.select("metric", "ts", cell_kind(F.col("raw")).alias("kind"))
-    return (
-        typed.groupBy("metric")
-        .agg(
-            F.count("*").alias("total"),
-            F.count_if(F.col("kind") == "number").alias("numeric"),
-            F.count_if(F.col("kind") == "null").alias("null_token"),
-            F.count_if(F.col("kind") == "text").alias("text"),
-            F.min("ts").alias("min_ts"),
-            F.max("ts").alias("max_ts"),
-        )
-        .withColumn("valid", F.col("numeric") > 0)
+_COUNTS = ["total", "numeric", "null_token", "text"]
+
+
+def profile_state(rows: DataFrame) -> DataFrame:
+    """What each column of each archive holds: counts of cells by kind, first and last time.
+
+    Cells are counted by position, before they have names. States of different archives add up.
+    """
+    cells = rows.select("archive", "header_id", "ts", F.posexplode("cells").alias("pos", "raw")).filter("pos > 0")
+    kinds = cells.withColumn("kind", cell_kind(F.col("raw")))
+    return kinds.groupBy("archive", "header_id", "pos").agg(
+        F.count("*").alias("total"),
+        F.count_if(F.col("kind") == "number").alias("numeric"),
+        F.count_if(F.col("kind") == "null").alias("null_token"),
+        F.count_if(F.col("kind") == "text").alias("text"),
+        F.min("ts").alias("min_ts"),
+        F.max("ts").alias("max_ts"),
+    )
+
+
+def name_profile(state: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """The states with their metrics' names: archive, metric and figures."""
+    table, size = columns if isinstance(columns, Side) else (columns, measured_bytes(columns))
+    named = side_join(state, Side(table.select("header_id", "pos", "metric"), size), ["header_id", "pos"], "inner", limit)
+    return named.select("archive", "metric", *_COUNTS, "min_ts", "max_ts")
+
+
+def sum_profiles(profiles: DataFrame) -> DataFrame:
+    """One row per metric over any number of archives, and whether it ever gives a number."""
+    summed = profiles.groupBy("metric").agg(
+        *[F.sum(c).alias(c) for c in _COUNTS], F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts")
     )
+    return summed.withColumn("valid", F.col("numeric") > 0)
+
+
+def metric_profile(rows: DataFrame, columns: DataFrame | Side, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """What each metric holds, and whether it ever gives a number."""
+    return sum_profiles(name_profile(profile_state(rows), columns, limit))
 
 
 def ingest_counters(rows: DataFrame, policy: list[str] | tuple[str, ...] = ()) -> DataFrame:

@@ -121,25 +121,42 @@ def pivot_series(means: DataFrame, metrics: list[str], keys: list[str], time: st
     return means.groupBy(*keys, time).pivot("metric", list(metrics)).agg(F.first("value"))
 
 
+# Up to so many columns a pivot is one aggregate with a condition for each.
+_FEW = 32
+
+
 def pivot_window(
     df: DataFrame, every: str, metrics: list[str], keys: list[str] = TAGS, start=None, stop=None
 ) -> DataFrame:
-    """Windowed means straight into one column per metric: a single aggregate and shuffle
-    where ``aggregate_window`` followed by ``pivot_series`` takes two."""
+    """Windowed means with one column per metric, any number of them.
+
+    A few metrics take a single aggregate and shuffle; a condition for each of many would be
+    tried on every row, so these are averaged by name first.
+    """
     rows = time_range(df, start, stop).filter(F.col("metric").isin(list(metrics)))
-    cells = [F.avg(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics]
-    wide = rows.groupBy(*keys, F.window("ts", every)).agg(*cells)
+    if len(metrics) <= _FEW:
+        cells = [F.avg(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics]
+        wide = rows.groupBy(*keys, F.window("ts", every)).agg(*cells)
+    else:
+        windowed = rows.select(*keys, "metric", "value", F.window("ts", every))
+        wide = windowed.groupBy(*keys, "window").pivot("metric", list(metrics)).agg(F.avg("value"))
     end = F.col("window.end") if stop is None else F.least(F.col("window.end"), _at(df, stop))
     return wide.select(*keys, end.alias("t"), *[F.col(f"`{m}`") for m in metrics])
 
 
-def metric_names(catalog: DataFrame, pattern: str, limit: int = 1000) -> list[str]:
-    """Names for a pivot. A pivot has one column per name, so more than ``limit`` is an error:
-    use the long form."""
-    rows = where_metric(catalog, pattern).select("metric").distinct().orderBy("metric").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} metrics match {pattern!r}; query them in long form")
-    return [r["metric"] for r in rows]
+def pivot_map(df: DataFrame, every: str, keys: list[str] = TAGS, start=None, stop=None) -> DataFrame:
+    """Windowed means with all metrics of a key and window in one map: a pivot that needs no names.
+
+    A map has as many entries as metrics match, which is at most a report's width.
+    """
+    means = aggregate_window(df, every, [*keys, "metric"], start, stop)
+    entries = F.array_sort(F.collect_list(F.struct("metric", "value")))
+    return means.groupBy(*keys, "t").agg(F.map_from_entries(entries).alias("values"))
+
+
+def metric_names(catalog: DataFrame, pattern: str) -> list[str]:
+    """The names of a catalogue that match, for a pivot's columns."""
+    return [r["metric"] for r in where_metric(catalog, pattern).select("metric").distinct().orderBy("metric").collect()]
 
 
 def resample(

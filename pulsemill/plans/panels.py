@@ -65,9 +65,12 @@ def panel_query(
     measurement: str | None = None,
     metrics: list[str] | None = None,
 ) -> DataFrame:
-    """Windowed means of a panel: long, or one column per name in ``metrics`` if it pivots."""
+    """Windowed means of a panel. One that pivots has a column for each name in ``metrics`` (see
+    ``metric_names``), or without names all that match in a map; others are long."""
     rows = panel_rows(samples, panel, product_type, serial, measurement)
-    if panel.pivot and metrics is not None:
+    if panel.pivot:
+        if metrics is None:
+            return s.pivot_map(rows, every, TAGS, start, stop)
         return s.pivot_window(rows, every, metrics, TAGS, start, stop)
     return s.aggregate_window(rows, every, [*TAGS, "metric"], start, stop)
 

@@ -49,6 +49,15 @@ def category_stats(spark, sf):
     return r.category_stats(_names(spark, sf), _ENABLED)
 
 
+@query(
+    "q_category_totals",
+    """select count(*) as before, count(*) filter (metric like 'proc.%' or metric like 'disk.%') as removed,
+      count(*) filter (metric not like 'proc.%' and metric not like 'disk.%') as after from names""",
+)
+def category_totals(spark, sf):
+    return r.category_totals(_names(spark, sf), _ENABLED)
+
+
 @query(
     "q_validated_semi",
     """+ labelled as (select event_id, metric || '-' || "serialNumber" as metric, value from telemetry)

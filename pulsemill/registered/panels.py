@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from pulsemill.operators import joins
@@ -10,6 +12,7 @@ from pulsemill.plans.panels import SAVED_PANELS, generated_panel, panel_legend,
 from pulsemill.registered.registry import query
 from pulsemill.registered.views import PANEL_METRICS, panel_samples, table, telemetry
 from pulsemill.schema import DEFAULT_MEASUREMENT, SERIES, TAGS
+from pulsemill.session import scratch_path
 
 START, STOP = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 # A range that cuts its first and last window.
@@ -51,11 +54,34 @@ def _plain_names(df, names):
     return _rounded(df, *[m.replace(".", "_") for m in names])
 
 
-@query("q_panel_pivot", _pivot_sql(PANEL_METRICS[:4], CUT_T, CUT))
+def _catalog(spark, samples):
+    """The names a store lists when it is loaded."""
+    path = scratch_path(spark, "names")
+    samples.select("metric").distinct().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("q_panel_pivot", _pivot_sql(PANEL_METRICS, CUT_T, CUT))
 def panel_pivot(spark, sf):
-    rows = panel_samples(spark, sf).filter(F.col("metric").isin(PANEL_METRICS[:4]))
+    rows = panel_samples(spark, sf)
+    names = s.metric_names(_catalog(spark, rows), "")
     means = s.aggregate_window(rows, EVERY, KEYS, CUT_START, CUT_STOP)
-    return _plain_names(s.pivot_series(means, PANEL_METRICS[:4], TAGS), PANEL_METRICS[:4])
+    return _plain_names(s.pivot_series(means, names, TAGS), names)
+
+
+@query(
+    "q_panel_map",
+    f"""select product_type, "serialNumber", t, string_agg(metric || '=' || cast(value as varchar), ',' order by metric) as means
+    from (select product_type, "serialNumber", metric, {WHOLE_T} as t, cast(round(avg(value) + 1e-9, 2) as decimal(20, 2)) as value
+      from panel_samples where {WHOLE} and metric like 'psoc.%' group by all) group by all""",
+)
+def panel_map(spark, sf):
+    panel = replace(SAVED_PANELS["q13"], pivot=True)
+    wide = panel_query(panel_samples(spark, sf), panel, EVERY, START, STOP)
+    text = F.transform(
+        F.map_entries("values"), lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] + 1e-9, 2).cast("decimal(20, 2)").cast("string"))
+    )
+    return wide.select(*TAGS, "t", F.array_join(text, ",").alias("means"))
 
 
 _MATCHES = {
@@ -92,7 +118,7 @@ def _register_saved(key):
     def saved(spark, sf):
         samples = panel_samples(spark, sf)
         # The columns are the names that match, not those the SQL lists.
-        matching = s.metric_names(samples, panel.pattern) if panel.pivot else None
+        matching = s.metric_names(_catalog(spark, samples), panel.pattern) if panel.pivot else None
         result = panel_query(samples, panel, EVERY, START, STOP, metrics=matching)
         return _plain_names(result, matching) if panel.pivot else _rounded(result, "value")
 

@@ -9,6 +9,7 @@ from pulsemill.operators import reports as r
 from pulsemill.operators.catalog import seen_metrics
 from pulsemill.operators.inventory import outcome_totals, run_ledger
 from pulsemill.plans.ingest import IngestOptions, StorePaths, ingest_lines, read_lines
+from pulsemill.plans.validation import ValidationPaths, valid_metrics
 from pulsemill.registered import views
 from pulsemill.registered.registry import query
 from pulsemill.schema import SERIES
@@ -201,7 +202,7 @@ def metric_profile(spark, sf):
     lines = _reports(spark, sf)
     headers = r.read_headers(spark, lines)
     rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers))))
-    return _ntz(r.metric_profile(r.melt_raw(rows, headers.side)), "min_ts", "max_ts")
+    return _ntz(r.metric_profile(rows, headers.side), "min_ts", "max_ts")
 
 
 @query(
@@ -293,3 +294,36 @@ def index_tag_values(spark, sf):
     return products.select(F.lit("product_type").alias("tag"), F.col("product_type").alias("value")).unionByName(
         serials.select(F.lit("serialNumber").alias("tag"), F.col("serialNumber").alias("value"))
     )
+
+
+@query(
+    "q_validate_or_load",
+    """+ sighted as (
+      select distinct report, metric from report_lines where not bad_arity and not bad_ts and kind not in (2, 3)
+      union select distinct report, 'mem-util-free' from report_lines
+        where not bad_arity and not bad_ts and variant = 2 and metric = 'mem.util.free' and event_id % 2 = 0),
+    headed as (
+      select distinct unnest(['kernel.all.load-1 minute', 'disk.dev.read-sda', 'mem.util.free', 'proc.psinfo.utime-000001',
+        'network.interface.in.bytes-eth0']) as metric
+      union select 'mem-util-free' from report_lines where variant = 2)
+    select 'validated' as step, metric from sighted where report % 3 < 2 group by metric
+    union all select 'loaded', metric from sighted where report % 3 < 2 group by metric
+    union all select 'validated again', metric from sighted group by metric
+    union all select 'unvalidated', metric from headed""",
+)
+def validate_or_load(spark, sf):
+    """A list from part of the reports; the same list while it is kept, whatever came since; a new one,
+    profiling only the reports that are new, after it was emptied; and all names without validation."""
+    lines = _reports(spark, sf)
+    some = lines.filter(views.report_number(F.col("archive")) % 3 < 2)
+    paths = ValidationPaths(scratch_path(spark, "validation"))
+    every = {"proc": True, "nfs": True}
+
+    def step(name, given, **more):
+        path = scratch_path(spark, "names")
+        valid_metrics(spark, given, paths, every, **more).select(F.lit(name).alias("step"), "metric").write.parquet(path)
+        return spark.read.parquet(path)
+
+    done = step("validated", some).unionByName(step("loaded", lines))
+    tables.write_validated(spark.createDataFrame([], "metric string"), paths.validated)
+    return done.unionByName(step("validated again", lines)).unionByName(step("unvalidated", lines, skip=True))

@@ -127,7 +127,7 @@ def test_profile_finds_columns_that_never_give_a_number(spark, tmp_path):
     lines = read_wide_reports(spark, str(tmp_path))
     headers = r.read_headers(spark, lines)
     rows = r.check_ts(r.check_arity(r.parse_lines(r.attach_header(lines, headers))))
-    profile = {x["metric"]: x for x in r.metric_profile(r.melt_raw(rows, headers.columns)).collect()}
+    profile = {x["metric"]: x for x in r.metric_profile(rows, headers.columns).collect()}
     load_row, host = profile["kernel.all.load"], profile["pmcd.hostname"]
     assert (load_row["total"], load_row["numeric"], load_row["null_token"], load_row["valid"]) == (2, 1, 1, True)
     assert (host["numeric"], host["text"], host["valid"]) == (0, 2, False)
@@ -142,6 +142,7 @@ def test_categories(spark):
     assert kept == set(names) - {"vfs.x", "filesys.x", "nfs.x", "swap.x"}
     stats = {x["category"]: x["removed"] for x in r.category_stats(df, {"file": False}).collect()}
     assert stats == {"proc": 1, "nfs": 1, "file": 2}
+    assert r.category_totals(df, {"file": False}).first().asDict() == {"before": 11, "removed": 4, "after": 7}
 
 
 def test_published_filter_counts(spark):
@@ -244,3 +245,30 @@ def test_past_the_broadcast_limit_lines_are_shuffled_and_not_values(spark, tmp_p
     assert dealt.select(F.pmod(F.xxhash64(*r.LINE_KEY), F.lit(8))).distinct().count() == 8
     settled = r.melt_fields(rows.filter("numbers IS NOT NULL"), headers.columns, limit=0)
     assert sorted(map(str, settled.collect())) == sorted(map(str, r.melt_fields(rows.filter("numbers IS NOT NULL"), headers.columns).collect()))
+
+
+def test_validation_is_incremental(spark, tmp_path, monkeypatch):
+    """Archives are profiled once; an empty list is made anew; a kept one is loaded, category rules applied."""
+    from pulsemill.plans import validation as v
+    from pulsemill.sinks.tables import write_validated
+
+    (tmp_path / "in").mkdir()
+    put = lambda name, text: (tmp_path / "in" / name).write_text(text)
+    put("1.csv", "Time,mem.a,host,proc.x\n2025-10-09 12:00:00,1,h,4\n2025-10-09 12:00:01,?,h,\n")
+    put("2.csv", "\n\n")
+    lines = lambda: read_wide_reports(spark, str(tmp_path / "in"))
+    paths = v.ValidationPaths(str(tmp_path / "v"))
+    names = lambda **more: sorted(x["metric"] for x in v.valid_metrics(spark, lines(), paths, **more).collect())
+    assert names() == ["mem.a"] and names(enabled={"proc": True}) == ["mem.a", "proc.x"]
+    assert names(skip=True) == ["host", "mem.a"]
+    put("3.csv", "Time,host,disk.b,late\n2025-10-10 12:00:00,7,1,?\n")
+    assert names() == ["mem.a"]  # the list is kept
+    write_validated(spark.createDataFrame([], "metric string"), paths.validated)
+    seen = []
+    real = r.profile_state
+    monkeypatch.setattr(r, "profile_state", lambda rows: (seen.extend(x["archive"][-5:] for x in rows.select("archive").distinct().collect()), real(rows))[1])
+    assert names() == ["disk.b", "host", "mem.a"] and seen == ["3.csv"]
+    profiles = v.update_profiles(spark, lines(), paths.profiles)
+    assert profiles.count() == 6 and seen == ["3.csv"]
+    total = {x["metric"]: (x["total"], x["numeric"], x["text"]) for x in r.sum_profiles(profiles).collect()}
+    assert total["host"] == (3, 1, 2) and total["late"] == (1, 0, 0)

@@ -83,11 +83,25 @@ def test_pivot_forms_agree(store):
     assert sorted(map(str, two_step.collect())) == sorted(map(str, one_step.collect()))
 
 
-def test_pivot_names_are_bounded(store):
-    catalog = store.select("metric").distinct()
-    assert s.metric_names(catalog, "cpu") == ["kernel.all.cpu.user", "psoc.now.cpu.a"]
-    with pytest.raises(ValueError):
-        s.metric_names(catalog, "cpu", limit=1)
+def test_a_family_of_1500_metrics_pivots(spark):
+    at = lambda h: START + dt.timedelta(hours=h)
+    names = [f"proc.x{i:04d}" for i in range(1500)]
+    df = spark.range(1500).crossJoin(spark.range(3).withColumnRenamed("id", "h")).selectExpr(
+        "'1' serialNumber", "format_string('proc.x%04d', id) metric", f"timestamp_ntz'{at(0)}' + make_interval(0, 0, 0, 0, h) ts", "double(id + h) value"
+    )
+    assert s.metric_names(df, r"^proc\.") == names
+    wide = s.pivot_window(df, "1 hour", names, ["serialNumber"]).orderBy("t").collect()
+    assert len(wide) == 3 and [len(x) for x in wide] == [1502] * 3 and wide[2]["proc.x1499"] == 1501.0
+    mapped = s.pivot_map(df, "1 hour", ["serialNumber"]).orderBy("t").collect()
+    assert [len(x["values"]) for x in mapped] == [1500] * 3 and all(mapped[h]["values"][n] == wide[h][n] for h in range(3) for n in names)
+
+
+def test_few_and_many_columns_agree(store, monkeypatch):
+    names, keys = s.metric_names(store, ""), ["product_type", "serialNumber"]
+    one = s.pivot_window(store, "1 day", names, keys, "2025-10-03 00:00:00", "2025-10-20 05:00:00")
+    monkeypatch.setattr(s, "_FEW", 0)
+    many = s.pivot_window(store, "1 day", names, keys, "2025-10-03 00:00:00", "2025-10-20 05:00:00")
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect())) and one.columns == many.columns
 
 
 @pytest.mark.parametrize("key", sorted(SAVED_PANELS))
