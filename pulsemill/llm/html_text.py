@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -106,6 +107,7 @@ def _judge_element(tag: str, raw: str, parent: Open | None) -> tuple[bool, int]:
 def blocks_of(page: str) -> list[Block]:
     """Blocks of a page in order, with where they stand and how much of them is link text."""
     blocks, stack, links = [Block()], [], 0
+    opened: Counter[str] = Counter()  # elements on the stack by name
     at, n, in_head = 0, len(page), False
     lowered, last_end = page.lower(), {}
 
@@ -158,14 +160,15 @@ def blocks_of(page: str) -> list[Block]:
         if mute() and tag in _BLOCK_TAGS and tag != "option":
             # One that is never closed ends where a block does or begins.
             while stack and stack[-1].tag in _MUTE_TAGS and stack[-1].open_ended:
-                stack.pop()
+                opened[stack.pop().tag] -= 1
         if tag in _MUTE_TAGS and not m[1] and not raw.endswith("/"):
             if tag in ("button", "select") and stack and stack[-1].tag == tag:
-                stack.pop()
+                opened[stack.pop().tag] -= 1
             if tag not in last_end:
                 last_end[tag] = lowered.rfind(f"</{tag}")
             top = stack[-1] if stack else None
             stack.append(Open(tag, bool(top and top.bad), top.main if top else 0, True, last_end[tag] < at))
+            opened[tag] += 1
             continue
         if tag == "a":
             links = 0 if m[1] else 1
@@ -175,19 +178,22 @@ def blocks_of(page: str) -> list[Block]:
             continue
         muted = mute()
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
+            # All that is passed over is closed, so the stack is walked once in all.
+            while opened[tag]:
+                last = stack.pop().tag
+                opened[last] -= 1
+                if last == tag:
                     break
         else:
             closes = _SELF_CLOSING.get(tag, {"p"} if tag in _BLOCK_TAGS else set())
             if stack and stack[-1].tag in closes:
-                stack.pop()
+                opened[stack.pop().tag] -= 1
             parent = stack[-1] if stack else None
             bad, main = _judge_element(tag, raw, parent)
             # Inline elements matter only where their own names put them out.
             if tag in _BLOCK_TAGS or bad:
                 stack.append(Open(tag, bad or bool(parent and parent.bad), max(main, parent.main if parent else 0), muted))
+                opened[tag] += 1
             if bad and tag not in _BLOCK_TAGS and not muted:
                 cut()
                 continue
@@ -258,7 +264,8 @@ def main_text(page: str) -> str:
     found = [(b, text) for b, text in found if text and not b.bad]
     surest = _main_rank(found)
     if surest:
-        found = [(b, text) for b, text in found if b.main >= surest]
+        # What stands in a less sure part is in if it reads like prose by itself.
+        found = [(b, text) for b, text in found if b.main >= surest or (b.main and first_pass(text, b.link_chars, False) == GOOD)]
     marks = [first_pass(text, b.link_chars, surest > 0) for b, text in found]
     if surest and GOOD not in marks:
         # Without any block that reads like prose, the element's word is all there is to go by.

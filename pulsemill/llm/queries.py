@@ -63,6 +63,9 @@ def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(spark, read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+LLM_SQL["op3_repeated_spans"] = repeats.REPEATS_SQL.format(table="documents")
+
+
 @_query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.duplicate_classes(spark, read_table(spark, sf_dir, "documents"))

@@ -275,3 +275,23 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, window: int = WIND
 
     joined = rows.join(by_document, "doc_id", "left")
     return map_texts(joined, remove, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+
+
+# Every window against the first document that holds it.
+REPEATS_SQL = """
+with words as (
+  select doc_id, row_number() over () as number, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from {table}),
+windows as (
+  select doc_id, number, i, array_to_string(w[i:i + 12], ' ') as gram
+  from (select doc_id, number, w, unnest(range(1, greatest(len(w) - 11, 1))) as i from words)),
+firsts as (select gram, min(doc_id) as first from windows group by gram),
+covered as (
+  select distinct number, i + k as place
+  from windows join firsts using (gram), (select unnest(range(13)) as k) where first < doc_id),
+placed as (select number, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from words),
+kept as (
+  select p.number, count(c.place) as n_removed, string_agg(p.word, ' ' order by p.place) filter (c.place is null) as kept
+  from placed p left join covered c using (number, place) group by p.number)
+select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from words left join kept using (number)
+"""

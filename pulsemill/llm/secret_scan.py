@@ -12,9 +12,9 @@ layers, the whole encoded run for compressed ones.
 Defined results: a null or empty text has no spans; a span found again in a deeper layer at the
 same place and of the same kind counts once; repeated rows get equal results; extra columns
 pass through ``mask_secrets`` untouched. Streams are unpacked as long as what they hold is a
-stream again, all members of each. One that unpacks to more than ``MOST_UNPACKED`` bytes is
-reported as a span of kind ``bomb`` and scanned in overlapping pieces; an encoded run in it that
-is longer than the overlap and crosses a piece's border is decoded in parts only.
+stream again, all members of each. One that unpacks to more than ``MOST_UNPACKED`` bytes is scanned
+in overlapping pieces; an encoded run in it that is longer than the overlap and crosses a piece's
+border is decoded in parts only.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ MOST_NESTED = 16
 _STEP, _CHUNK, _HEAD = 1 << 20, 1 << 10, 64
 
 # The kinds in their order, and the patterns of the base scan.
-KINDS = ("bomb", "assign", "access", "hex")
+KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
@@ -147,6 +147,26 @@ def _is_stream(head: bytes) -> bool:
     return _STREAM.match(head) is not None
 
 
+def _begins(head: bytes) -> bool:
+    """Whether bytes that begin like a stream can go on as one, by its fixed header fields and the head of the first
+    block. False heads, of which a text may hold very many, are turned away without setting up a decompressor."""
+    if head[:1] == b"x":
+        block = head[2:7]
+    elif head[:3] == b"\x1f\x8b\x08":
+        if len(head) > 3 and head[3] & 0xE0:
+            return False
+        block = head[10:15] if len(head) > 3 and not head[3] else b""
+    elif head[:3] == b"BZh":
+        return head[4:10] in (b"1AY&SY"[: len(head[4:10])], b"\x17rE8P\x90"[: len(head[4:10])])
+    else:
+        return True
+    if not block:
+        return True
+    kind = block[0] >> 1 & 3
+    # Kind 3 is none; a stored block has its length and the complement of it.
+    return kind != 3 and (kind != 0 or len(block) < 5 or block[1] ^ block[3] == block[2] ^ block[4] == 0xFF)
+
+
 class _Unpacked:
     """The content of a stream that comes in chunks, all its members joined. Bytes that are no member come as they are
     if ``rest`` is set. ``used`` counts the bytes of the members."""
@@ -159,7 +179,7 @@ class _Unpacked:
         while True:
             while len(data) < 6 and (more := next(self.chunks, None)) is not None:
                 data += more
-            if not _is_stream(data):
+            if not _is_stream(data) or not _begins(data[:16]):
                 break
             member = _Member(data)
             try:
@@ -380,11 +400,15 @@ def _byte_streams(layer: Layer, limit: int) -> Iterator[tuple[int, Layer, bytes,
 
             forms.append(_by_units(layer, 0, len(layer.text), unit, decode))
     for form in forms:
-        at = 0
+        at = z = 0
         while m := _STREAM_TEXT.search(form.text, at):
             a = m.start()
-            last = _NO_BYTE.search(form.text, a)
-            z = last.start() if last else len(form.text)
+            if not _begins(form.text[a : a + 16].encode("latin-1", "replace")):
+                at = a + 1
+                continue
+            if a >= z:  # where the run of one-byte characters ends that the head stands in
+                last = _NO_BYTE.search(form.text, a)
+                z = last.start() if last else len(form.text)
             chunks = (form.text[i : min(i + _CHUNK, z)].encode("latin-1") for i in range(a, z, _CHUNK))
             unpacked = _Unpacked(chunks, False)
             first, pieces = _unpack(unpacked, limit)
@@ -433,7 +457,8 @@ def _scan_layers(work: list[Layer | Content], limit: int, spans: set[tuple[str,
         kinds: set[tuple[str, int, int]] = set()
         for piece in pieces:
             _scan_layers([_coarse(piece, 0, 1)], limit, kinds)
-        spans.update((kind, start, end()) for kind in {"bomb"} | {k for k, _, _ in kinds})
+        found = {k for k, _, _ in kinds}
+        spans.update((kind, start, end()) for kind in found)
 
     while work:
         item = work.pop()
@@ -477,14 +502,13 @@ def all_spans(text: str, limit: int = MOST_UNPACKED) -> list[tuple[str, int, int
 
 
 def _longest_run(member: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The longest run of marked bytes in each text."""
-    edge = np.diff(np.concatenate([[0], member.view(np.int8), [0]]))
-    a, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    """The longest run of marked bytes in each text; a run ends where its text does."""
+    border = np.zeros(len(member) + 1, bool)
+    border[offsets] = True
+    a = np.flatnonzero(member & (border[:-1] | ~np.r_[False, member[:-1]]))
+    z = np.flatnonzero(member & (border[1:] | ~np.r_[member[1:], False])) + 1
     out = np.zeros(len(offsets) - 1, np.int64)
-    # A run over a border between texts counts in full for both, which only means a text is looked at in vain.
     np.maximum.at(out, np.searchsorted(offsets, a, side="right") - 1, z - a)
-    last = np.maximum(np.searchsorted(offsets, z - 1, side="right") - 1, 0)
-    np.maximum.at(out, last, z - a)
     return out
 
 
@@ -494,13 +518,31 @@ _SIGNS = np.zeros(256, bool)
 _SIGNS[np.frombuffer(b"=:%\\&", np.uint8)] = True
 
 
+# The first characters of streams that stand in a text byte by byte, as UTF-8. Those of bzip2 hold an "&".
+_HEADS = [tuple(head.encode()) for head in ("\x1f\x8b", "x\x01", "x^", "x\x9c", "x\xda", "\xfd7z", "(\xb5/")]
+
+
+def _stream_heads(data: np.ndarray) -> np.ndarray:
+    """Marks the bytes at which such a head begins."""
+    found = np.zeros(len(data), bool)
+    for head in _HEADS:
+        n = len(data) - len(head) + 1
+        if n > 0:
+            here = data[:n] == head[0]
+            for i, byte in enumerate(head[1:], 1):
+                here &= data[i : n + i] == byte
+            found[:n] |= here
+    return found
+
+
 def worth_reading(column: pa.Array) -> np.ndarray:
-    """Marks texts that can hold a span: they have a sign all patterns but runs need, or a long run of base64 letters.
+    """Marks texts that can hold a span: they have a sign that patterns and escapes need, the head of a compressed
+    stream, or a long run of base64 letters.
 
     Access keys and long hexadecimal runs are runs of that alphabet themselves.
     """
     data, offsets = raw_bytes(column)
-    signs = np.concatenate([[0], np.cumsum(_SIGNS[data])])
+    signs = np.concatenate([[0], np.cumsum(_SIGNS[data] | _stream_heads(data))])
     some = signs[offsets[1:]] > signs[offsets[:-1]]
     return some | (_longest_run(_ALPHABET[data], offsets) >= _SHORTEST_BASE64) if len(data) else some
 

@@ -60,3 +60,20 @@ def test_a_teaser_is_not_the_main_part():
     for a, z in (("<main>", "</main>"), ('<div class="content">', "</div>")):
         assert PROSE.strip() in main_text(f"<body>{a}{f'<p>{PROSE}</p>' * 5}{z}{teaser}</body>")
         assert main_text(f"<body>{a}{f'<p>{PROSE}</p>' * 5}{teaser}{z}</body>").count(PROSE.strip()) == 5
+
+
+PROSE = "the cat sat on the mat and looked at the long road that led away from the old house by the sea, and it was good to be there. "
+
+
+def test_prose_around_the_surest_part_stays():
+    page = f"<main><p>{PROSE} lead</p><article><p>{PROSE * 3}</p></article><p>{PROSE} tail</p><p>short</p></main><p>{PROSE} outside</p>"
+    got = main_text(page)
+    assert "lead" in got and "tail" in got and "outside" not in got
+
+
+def test_end_tags_without_a_start_take_linear_time():
+    import time
+
+    began = time.thread_time()
+    main_text("<div><span>" * 50_000 + "</p>" * 50_000 + "</section></div>" * 20_000)
+    assert time.thread_time() - began < 10

@@ -49,3 +49,12 @@ def test_odd_rows(spark):
     rows = [r[:2] for r in odd_rows()]
     assert got(spark, rows) == brute(rows)
     assert remove_repeats(spark, documents(spark, rows).limit(0)).collect() == []
+
+
+def test_against_sql(spark):
+    import __spark_entry__ as e
+    from check_queries import compare, connect
+
+    for sf_dir in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        got = e.queries()["op3_repeated_spans"](spark, sf_dir).toPandas()
+        assert compare(got, connect(sf_dir).sql(e.oracle_sql()["op3_repeated_spans"]).df()) == "ok"
