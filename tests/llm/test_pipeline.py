@@ -16,7 +16,7 @@ def test_queries_run(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in CORPUS) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in CORPUS) == list(range(1, 14))
 
 
 def test_stages_against_their_reports(spark):
