@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsemill.llm.frames import free_name, map_texts, staged, text_column
-from pulsemill.llm.text import Words, mix, split_words, windows
+from pulsemill.llm.text import Words, mix, slices, split_words, windows
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
@@ -184,8 +184,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, vector = None, None
         for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
+            for start, stop in slices(batch["b_text"]):
+                part = batch.slice(start, stop - start)
                 rows, keys, counts = shingles(split_words(part["b_text"]))
                 bounds = np.searchsorted(rows, np.arange(len(part) + 1))
                 out = []
