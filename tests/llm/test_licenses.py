@@ -1,8 +1,11 @@
 import textwrap
 
+import pyarrow as pa
 from cases import documents, odd_rows
 
-from pulsemill.llm.licenses import TEMPLATES, find_licenses
+from pulsemill.llm import licenses
+from pulsemill.llm.licenses import TEMPLATES, find_copies, find_licenses, load_notices
+from pulsemill.llm.text import split_words
 
 
 def test_each_notice_is_found_by_its_name_and_prose_is_not(spark):
@@ -56,3 +59,47 @@ def test_odd_rows(spark):
     docs = documents(spark, [*odd_rows(), (None, TEMPLATES["MIT"]), (30, TEMPLATES["MIT"]), (30, TEMPLATES["MIT"])])
     assert sorted(str(r["doc_id"]) for r in find_licenses(docs).collect()) == ["30", "30", "None"]
     assert find_licenses(docs.limit(0)).collect() == []
+
+
+def copies_in(text, notices):
+    return [(x.name, x.saved) for x in find_copies(licenses._text_of(split_words(pa.array([text]))), notices)]
+
+
+def test_other_versions_and_clauses_keep_their_names():
+    notices = load_notices(TEMPLATES)
+    named = {
+        "Licensed under the BSD 2-Clause License.": ["BSD-2-Clause (line)"],
+        "Licensed under the BSD 4-Clause License.": [],
+        "Licensed under the Apache License, Version 1.1": ["Apache-1.1 (line)"],
+        "Licensed under the Apache License, Version 3.0": [],
+        "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0 (line)"],
+        "Licensed under the Boost Software License, Version 1.0.": ["BSL-1.0 (line)"],
+        "// SPDX-License-Identifier: MIT": ["MIT (SPDX)"],
+        "SPDX-License-Identifier: Apache-2.0 OR MIT": ["Apache-2.0 OR MIT (SPDX)"],
+    }
+    for text, names in named.items():
+        for around in (text, f"It was a long day for the public. {text} Then the rest of the story went on as before."):
+            assert [name for name, _ in copies_in(around, notices)] == names, around
+
+
+def test_the_ranking_is_by_bytes_saved(monkeypatch):
+    notices = load_notices(TEMPLATES)
+    text = TEMPLATES["GPL-2.0-or-later"]
+    ((name, saved),) = copies_in(text, notices)
+    alone, every = licenses.savings(text.encode(), notices)
+    assert name == "GPL-2.0-or-later" and saved == max(every)
+    # Without what compression tells nothing is proposed; turned round, another notice of the same wording wins.
+    same = load_notices({"a": "one two three four five six seven eight nine ten", "b": "One two three four five six seven eight nine ten."})
+    assert [n for n, _ in copies_in("One two three four five six seven eight nine ten.", same)] == ["b"]
+    assert [n for n, _ in copies_in("one two three four five six seven eight nine ten", same)] == ["a"]
+    monkeypatch.setattr(licenses, "savings", lambda stretch, notices: (len(stretch), [0] * len(notices.notices)))
+    assert copies_in(text, notices) == []
+
+
+def test_a_notice_over_the_border_of_pieces_is_found_once(monkeypatch):
+    notices = load_notices(TEMPLATES)
+    prose = " ".join(["software copy notice public rights license"] * 40)
+    text = f"{prose} {TEMPLATES['MIT']} {prose} {TEMPLATES['ISC']} {prose}"
+    for piece in (50, 97, 260):
+        monkeypatch.setattr(licenses, "PIECE", piece)
+        assert [name for name, _ in copies_in(text, notices)] == ["MIT", "ISC"], piece
