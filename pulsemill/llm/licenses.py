@@ -19,7 +19,6 @@ repeated rows give equal rows; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -173,17 +172,30 @@ def savings(stretch: bytes, notices: Notices) -> tuple[int, list[int]]:
     return alone, [alone - len(x.compressor.compress(stretch)) for x in notices.notices]
 
 
-def differences(notice: list[str], block: list[str]) -> str:
-    """Words that differ, as -missing and +added, in order."""
-    out = []
-    for kind, a, b, c, d in difflib.SequenceMatcher(None, notice, block, autojunk=False).get_opcodes():
-        if kind != "equal":
-            out += [f"-{w}" for w in notice[a:b]] + [f"+{w}" for w in block[c:d]]
-    return " ".join(out)
+def differences(notice: list[str], block: list[str]) -> list[str]:
+    """Words that differ, as -missing and +added, in order: all but the longest sequence both have in common."""
+    code = {w: i for i, w in enumerate(dict.fromkeys(notice + block))}
+    there = np.array([code[w] for w in block], np.int64)
+    common = np.zeros((len(notice) + 1, len(block) + 1), np.int64)
+    for i, word in enumerate(notice, 1):
+        longer = np.maximum(common[i - 1, 1:], common[i - 1, :-1] + (there == code[word]))
+        common[i, 1:] = np.maximum.accumulate(longer)
+    out, i, j = [], len(notice), len(block)
+    while i or j:
+        if i and j and notice[i - 1] == block[j - 1]:
+            i, j = i - 1, j - 1
+        elif j and common[i, j - 1] == common[i, j]:
+            out.append(f"+{block[j - 1]}")
+            j -= 1
+        else:
+            out.append(f"-{notice[i - 1]}")
+            i -= 1
+    return out[::-1]
 
 
 def _numbers(changes: list[str], sign: str) -> list[str]:
-    return [n for w in changes if w[0] == sign for n in re.findall(r"[0-9]+", w)]
+    """The numbers in missing or added words; an address, which may be broken or moved, tells no version."""
+    return [n for w in changes if w[0] == sign and "/" not in w for n in re.findall(r"[0-9]+", w)]
 
 
 @dataclass
@@ -276,7 +288,7 @@ def confirm(text: Text, notices: Notices, which: int, own: np.ndarray, lo: int,
         # A copy may stand before or after an alignment that scores better and is none.
         rest += [(end, z), (a, start)]
         stretch = text.between(start, end)
-        changes = differences(notice.words, _wording(stretch.decode())).split()
+        changes = differences(notice.words, _wording(stretch.decode()))
         missing = sum(w[0] == "-" for w in changes)
         share = 1 - missing / len(notice.words)
         if share < WORDING or (missing and len(notice.words) < EXACT) or _numbers(changes, "-") != _numbers(changes, "+"):
