@@ -268,16 +268,18 @@ def prefix_trie(spark: SparkSession, conversations: DataFrame, cells: int | None
     parents = groups.select(F.col("a").alias("up_a"), F.col("b").alias("up_b"), F.col("first_conv").alias("parent_conv_id"))
     first = _long(root or 0).alias("parent_conv_id")
 
-    def with_parent(df: DataFrame) -> DataFrame:
-        """Nodes of depth 1 have the root for a parent, whose conversation is known."""
-        return df.where("depth > 1").join(parents, ["up_a", "up_b"]).unionByName(df.where("depth = 1").select("*", first))
+    def with_parent(df: DataFrame, smallest: str) -> DataFrame:
+        """Nodes of depth 1 have the root for a parent, whose conversation is known. A parent without a group has
+        one member, which is then the node's own: the sketch took the node for shared, but not what is above it."""
+        deep = df.where("depth > 1").join(parents, ["up_a", "up_b"], "left").withColumn("parent_conv_id", F.coalesce("parent_conv_id", smallest))
+        return deep.unionByName(df.where("depth = 1").select("*", first))
 
-    tail_tops = with_parent(tops).select("conv_id", "depth", "parent_conv_id", *alone)
+    tail_tops = with_parent(tops, "conv_id").select("conv_id", "depth", "parent_conv_id", *alone)
     # The root has all conversations; what lies below it is the sum over the nodes themselves.
     at_root = carried.unionByName(ends_alone).agg(*(F.coalesce(F.sum(name), _long(0)) for name in ("saved_tokens", "n_leaves"))).first()
     stats = [root, 0, None, n_convs, 0, 0, at_root[0], 1 if deepest == 0 else at_root[1]]
     top = spark.createDataFrame([tuple(stats)] if n_convs else [], "conv_id long, depth long, parent_conv_id long, n_convs long, a long, b long, saved_tokens long, n_leaves long")
-    shared = with_parent(groups).withColumnRenamed("first_conv", "conv_id").join(subtrees, ["a", "b"])
+    shared = with_parent(groups, "first_conv").withColumnRenamed("first_conv", "conv_id").join(subtrees, ["a", "b"])
     shared = shared.select(*top.columns).unionByName(top)
     exact = shared.join(children, ["a", "b"], "left").join(ends, ["a", "b"], "left").withColumns(
         {"n_children": F.coalesce("n_children", _long(0)), "ends_sha256": F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256))}

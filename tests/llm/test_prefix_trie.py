@@ -59,6 +59,13 @@ def test_random_conversations(spark, cells):
     assert compare(trie(spark, rows, cells=cells), brute(rows)) == "ok"
 
 
+@pytest.mark.parametrize("cells", [64, 256, 1024])
+def test_prefixes_taken_for_shared(spark, cells):
+    """A sketch that is nearly full takes single prefixes for shared, some of them below ones that it knows are single."""
+    rows = [(c, t, "u", f"same {t}" if t < 2 else f"own {c} {t}") for c in range(60) for t in range(7)]
+    assert compare(trie(spark, rows, cells=cells), brute(rows)) == "ok"
+
+
 def test_odd_rows(spark):
     assert compare(trie(spark, ODD), brute(ODD)) == "ok"
     assert trie(spark, [r for r in ODD if r[0] is None]).empty and trie(spark, []).empty
