@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Folders are listed by at most this many tasks: one for each of thousands of folders costs more than the listing.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # Stream state lives on disk beside the executor and in the checkpoint, not in its heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

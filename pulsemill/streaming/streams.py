@@ -13,6 +13,9 @@ from pulsemill.sinks.keyed import merge_keyed
 from pulsemill.sources.archives import stream_archives
 from pulsemill.sources.reports import with_line_position
 
+# Text in a batch. A batch has some twenty jobs however small its files are, and holds none of it in memory.
+BATCH_BYTES = 1 << 30
+
 
 def ingest_available(
     spark: SparkSession,
@@ -21,15 +24,16 @@ def ingest_available(
     checkpoint: str,
     options: IngestOptions = IngestOptions(),
     archives: bool = False,
-    files_per_batch: int = 1000,
+    files_per_batch: int | None = None,
     first_seq: int = 1,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> None:
     """Load the files that wait in a directory, then stop.
 
     The checkpoint remembers what was loaded. A batch repeated after a failure has the same
-    number and overwrites its own samples. ``files_per_batch`` bounds a batch of text reports;
-    archives that wait make one batch. ``first_seq`` numbers the first batch, for a store that
-    other loads went into before.
+    number and overwrites its own samples. A batch of text reports is bounded by its bytes, or by
+    ``files_per_batch`` if that is given; archives that wait make one batch. ``first_seq`` numbers
+    the first batch, for a store that other loads went into before.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -42,7 +46,8 @@ def ingest_available(
     if archives:
         source = stream_archives(spark, path, f"{checkpoint}/archives")
     else:
-        reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        most = ("maxBytesPerTrigger", bytes_per_batch) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.option(*most)
         # The metadata has to be selected here to reach the batch.
         source = reader.option("recursiveFileLookup", "true").text(path).select("value", "_metadata")
     query = (

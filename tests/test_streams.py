@@ -174,3 +174,19 @@ def test_the_newest_version_wins_in_a_stream_too(spark, tmp_path):
     got = read_keyed(spark, root, stream.schema).select("s", "ts", "seq", "value")
     want = last_write_wins(spark.read.parquet(source), ["s", "ts"], ["seq"]).select("s", "ts", "seq", "value")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
+
+
+def test_many_small_files_make_one_batch(spark, tmp_path):
+    """A batch is bounded by its bytes: a thousand small files more are no further batch."""
+    source, store = tmp_path / "in", StorePaths(str(tmp_path / "store"))
+    source.mkdir()
+    for i in range(1_010):
+        (source / f"{i:04}.csv").write_text(f"Time,a.b\n2025-10-09 12:{i // 60:02}:{i % 60:02},{i}\n")
+    st.ingest_available(spark, str(source), store, str(tmp_path / "checkpoint"))
+    ledger = spark.read.parquet(store.ledger)
+    assert ledger.count() == 1_010 and ledger.select("ingest_seq").distinct().count() == 1
+    assert read_samples(spark, store.samples).agg(F.count("*"), F.sum("value")).first()[:] == (1_010, sum(range(1_010)))
+    for name in ("one", "two"):
+        report(tmp_path / "in" / f"{name}.csv", ["a.b"], range(5))
+    st.ingest_available(spark, str(source), store, str(tmp_path / "checkpoint"), bytes_per_batch=1)
+    assert spark.read.parquet(store.ledger).select("ingest_seq").distinct().count() == 3
