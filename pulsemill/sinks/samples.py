@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pulsemill.operators.joins import side_join
 from pulsemill.operators.points import resolve_samples
 from pulsemill.operators.series import since
-from pulsemill.schema import DEVICE_BUCKETS, PARTITIONS, SAMPLES
+from pulsemill.schema import DEVICE_BUCKETS, PARTITIONS, SAMPLES, SERIES
 from pulsemill.session import scratch_path
 from pulsemill.sinks.replacement import recover, replace
 from pulsemill.sinks.tables import read_table
@@ -98,12 +98,18 @@ def merge_samples(spark: SparkSession, fresh: DataFrame, root: str, spans: DataF
     met = F.broadcast(met)
     keyed = fresh.withColumn("bucket", device_bucket())
     stored = read_table(spark, root, STORED).join(met, PARTITIONS, "left_semi")
-    both = stored.unionByName(keyed.join(met, PARTITIONS, "left_semi"))
-    replace(spark, resolve_samples(both.select(*SAMPLES.names)), root, _overwrite)
+    replace(spark, merged(stored, keyed.join(met, PARTITIONS, "left_semi")), root, _overwrite)
     if not new.join(met, PARTITIONS, "left_anti").isEmpty():
         write_samples(keyed.join(met, PARTITIONS, "left_anti"), root)
 
 
+def merged(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The last of each series and time. Neither side repeats one, so rows are shuffled before they are
+    sorted and resolved: nothing could be resolved, only sorted once more, where they are read."""
+    both = stored.select(*SAMPLES.names).unionByName(fresh.select(*SAMPLES.names))
+    return resolve_samples(both.repartition(*SERIES, "ts"))
+
+
 def _staged(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
     df.select(*schema.names).write.parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -123,3 +123,11 @@ def test_no_value_is_sorted_in_the_registered_queries(spark, plan_of):
         plan = plan_of(e.queries()[name](spark, "/root/testdata/sf0.001"))
         above = plan[: plan.index("collect_list")]
         assert "Sort " not in above and "Exchange hashpartitioning" not in above
+
+
+def test_claims_are_counted_without_sorting(spark, plan_of):
+    """Headers are ids of bytes; lines of a claim have one header or not, and a missing one counts as none."""
+    rows = [("S", "1", 1, b"a"), ("S", "1", 1, b"a"), ("S", "1", 2, b"a"), ("S", "1", 2, b"b"), ("S", "1", 3, b"b"), ("S", "2", 1, None), ("S", "2", 1, b"b")]
+    claims = p.claimed_twice(spark.createDataFrame(rows, "product_type string, serialNumber string, ts long, header_id binary"))
+    assert sorted(r[:] for r in claims.collect()) == [("S", "1", 1, 2, True), ("S", "1", 2, 2, False), ("S", "2", 1, 2, True)]
+    assert "Sort" not in plan_of(claims)

@@ -1,10 +1,12 @@
 import datetime as dt
+import uuid
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulsemill.schema import SAMPLES
+from pulsemill.session import apply_settings
 from pulsemill.sinks import samples as store
 from pulsemill.sinks.samples import (
     indexed_tag_values, merge_samples, read_samples, read_spans, recover_samples, time_spans, upsert_samples, write_samples,
@@ -239,3 +241,27 @@ def test_pruning_by_the_load(spark, tmp_path, plan_of):
     time_spans(first).select(*store.SPANS.names).write.parquet(str(spans))
     plan = plan_of(store.overlaps(read_spans(spark, path), spark.read.schema(store.SPANS).parquet(str(spans))))
     assert "dynamicpruning" in plan and merge_samples is not None
+
+
+def test_merge_sorts_rows_once(spark, plan_of, tmp_path):
+    """Rows of a merge are shuffled as they are read, then sorted and resolved."""
+    stored, fresh = (spark.createDataFrame(rows([1], seq), SAMPLES) for seq in (1, 2))
+    plan = plan_of(store.merged(stored, fresh))
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert plan.rindex("SortAggregate") < plan.index("Sort [") < plan.index("Exchange")
+    assert {r["ingest_seq"] for r in store.merged(stored, fresh).collect()} == {2}
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """More folders than tasks: listing them runs one job of a bounded number of tasks."""
+    apply_settings(spark)
+    for i in range(150):
+        (tmp_path / f"report={i}").mkdir()
+        (tmp_path / f"report={i}" / "lines.txt").write_text("x\n")
+    tracker, group = spark.sparkContext.statusTracker(), uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "listing")
+    read = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path))
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds) <= 64
+    assert read.count() == 150
